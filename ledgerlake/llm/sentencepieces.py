@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
+import operator
 import re
 from collections.abc import Iterator
 
@@ -25,7 +27,7 @@ BLANK = "▁"
 class MergeEncoder:
     """Encoder for one model file; `library` is the sentencepiece processor of the same file."""
 
-    def __init__(self, path: str, kept: int = 200_000):
+    def __init__(self, path: str, kept: int = 250_000):
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2
 
@@ -37,71 +39,71 @@ class MergeEncoder:
         if model.trainer_spec.model_type != 2 or spec.precompiled_charsmap or spec.remove_extra_whitespaces or not spec.escape_whitespaces or model.trainer_spec.treat_whitespace_as_suffix or any(p.type in (4, 5) for p in model.pieces):
             raise ValueError("needs a merge-type vocabulary with identity normalisation and no user-defined or unused pieces")
         self.prefix = BLANK if spec.add_dummy_prefix else ""
-        pieces = [(p.piece, -p.score, i) for i, p in enumerate(model.pieces) if p.type == 1]
-        self.cost = {piece: cost for piece, cost, _ in pieces}
-        self.id = {piece: i for piece, _, i in pieces}
+        self.id = {p.piece: i for i, p in enumerate(model.pieces) if p.type == 1}
+        scores = sorted({p.score for p in model.pieces if p.type == 1}, reverse=True)
+        place = {score: k for k, score in enumerate(scores)}
+        self.rank = {p.piece: place[p.score] for p in model.pieces if p.type == 1}
         byte_ids = [i for i, p in enumerate(model.pieces) if p.type == 6]
-        self.bytes = byte_ids if model.trainer_spec.byte_fallback and len(byte_ids) == 256 else None
-        self.unknown, self.begin, self.end = self.library.unk_id(), self.library.bos_id(), self.library.eos_id()
-        apart = not any("\n" in piece or BLANK in piece.lstrip(BLANK) for piece in self.cost)
+        if not model.trainer_spec.byte_fallback or len(byte_ids) != 256:
+            raise ValueError("needs byte pieces for unknown characters")
+        self.bytes, self.begin, self.end = byte_ids, self.library.bos_id(), self.library.eos_id()
+        apart = not any("\n" in piece or BLANK in piece.lstrip(BLANK) for piece in self.id)
         self.stretches = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n" if apart else r"(?s:.+)").findall
-        self.kept, self.known = kept, {}
+        self.kept, self.known, self.older = kept, {}, {}
 
     def merge(self, stretch: str) -> list[str]:
-        """The symbols of a stretch after all merges."""
-        cost, n = self.cost, len(stretch)
+        """The symbols of a stretch after all merges. An agenda entry is a rank of score and the place of the left symbol."""
+        rank, n = self.rank, len(stretch)
+        bits = n.bit_length()
+        place = (1 << bits) - 1
         symbols: list[str | None] = list(stretch)
-        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        agenda = []
-        for i in range(n - 1):
-            pair = stretch[i : i + 2]
-            if (c := cost.get(pair)) is not None:
-                agenda.append((c, i, i + 1, pair))
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        agenda = [rank[pair] << bits | i for i, pair in enumerate(map(operator.add, stretch, stretch[1:])) if pair in rank]
         heapq.heapify(agenda)
         while agenda:
-            _, left, right, pair = heapq.heappop(agenda)
-            a, b = symbols[left], symbols[right]
-            if a is None or b is None or len(a) + len(b) != len(pair):
+            entry = heapq.heappop(agenda)
+            left = entry & place
+            if symbols[left] is None or (right := after[left]) == n:
+                continue
+            joined = symbols[left] + symbols[right]
+            if rank.get(joined) != entry >> bits:
                 continue  # one of the two has merged since
-            symbols[left], symbols[right] = pair, None
+            symbols[left], symbols[right] = joined, None
             nxt = after[left] = after[right]
-            if nxt >= 0:
+            if nxt < n:
                 before[nxt] = left
-                joined = pair + symbols[nxt]
-                if (c := cost.get(joined)) is not None:
-                    heapq.heappush(agenda, (c, left, nxt, joined))
+                if (r := rank.get(joined + symbols[nxt])) is not None:
+                    heapq.heappush(agenda, r << bits | left)
             prev = before[left]
-            if prev >= 0:
-                joined = symbols[prev] + pair
-                if (c := cost.get(joined)) is not None:
-                    heapq.heappush(agenda, (c, prev, left, joined))
+            if prev >= 0 and (r := rank.get(symbols[prev] + joined)) is not None:
+                heapq.heappush(agenda, r << bits | prev)
         return [s for s in symbols if s is not None]
 
     def ids_of(self, stretch: str) -> tuple[int, ...]:
+        """Ids of a stretch that is not among the known; two generations of stretches are kept."""
+        ids = self.older.get(stretch) or self.symbol_ids(self.merge(stretch))
+        if len(self.known) >= self.kept:
+            self.known, self.older = {}, self.known
+        if len(stretch) <= 32:
+            self.known[stretch] = ids
+        return ids
+
+    def symbol_ids(self, symbols: list[str]) -> tuple[int, ...]:
         out: list[int] = []
-        unknown = False  # without byte pieces, a run of unknown characters is one id
-        for symbol in self.merge(stretch):
+        for symbol in symbols:
             if (i := self.id.get(symbol)) is not None:
                 out.append(i)
-            elif self.bytes:
+            else:
                 out += [self.bytes[b] for b in symbol.encode("utf-8")]
-            elif not unknown:
-                out.append(self.unknown)
-            unknown = i is None
-        if len(self.known) >= self.kept:
-            self.known.clear()
-        if len(stretch) <= 64:
-            self.known[stretch] = tuple(out)
         return tuple(out)
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text between the begin and the end id."""
-        out, known = [self.begin], self.known
-        if text:
-            for stretch in self.stretches(self.prefix + text.replace(" ", BLANK)):
-                out += known.get(stretch) or self.ids_of(stretch)
-        out.append(self.end)
-        return out
+        if not text:
+            return [self.begin, self.end]
+        get, more = self.known.get, self.ids_of
+        parts = [get(x) or more(x) for x in self.stretches(self.prefix + text.replace(" ", BLANK))]
+        return [self.begin, *itertools.chain.from_iterable(parts), self.end]
 
 
 _ENCODERS: dict[str, MergeEncoder] = {}
