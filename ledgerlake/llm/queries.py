@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgerlake.llm.ann import nearest_neighbours
 from ledgerlake.llm.chat import chat_digests, conversation_messages, format_chats
 from ledgerlake.llm.decontaminate import decontaminate
 from ledgerlake.llm.ngram_join import ngram_jaccard_join
+from ledgerlake.llm.quality import quality_scores
+from ledgerlake.llm.sentencepieces import encode_digests
+from ledgerlake.llm.toxicity import toxicity_scores
+from ledgerlake.llm.warc import fixity_audit, warc_index, warc_records
+from ledgerlake.llm.wordpiece import token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,10 +39,59 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=3, out=1)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=5, out=0)
+
+
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
+    return encode_digests(table(spark, sf_dir, "documents"), model_path or piece_model())
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), model_path or piece_model())
+
+
+def op10_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audits a damaged copy of all pages: every page whose id is 13 more than a multiple of 97 has a changed byte, every
+    7 more than one of 101 lacks its second half, and every 5 more than one of 103 is gone; the first of these counts."""
+    records = warc_records(table(spark, sf_dir, "pages"))
+    size = F.octet_length("record")
+    damaged = (
+        F.when(F.col("page_id") % 97 == 13, F.overlay("record", F.lit(b"#"), F.lit(3)))
+        .when(F.col("page_id") % 101 == 7, F.substring(F.col("record"), F.lit(1), F.floor(size / 2).cast("int")))
+        .when(F.col("page_id") % 103 == 5, F.lit(None))
+        .otherwise(F.col("record"))
+    )
+    return fixity_audit(warc_index(records), records, records.withColumn("record", damaged))
+
+
+def piece_model() -> str:
+    """The public merge-type SentencePiece model; LEDGERLAKE_PIECE_MODEL names another file."""
+    if found := os.environ.get("LEDGERLAKE_PIECE_MODEL"):
+        return found
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op6_toxicity": op6_toxicity,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
+    "op8_sentencepiece": op8_sentencepiece,
+    "op9_token_counts": op9_token_counts,
+    "op10_warc_fixity": op10_warc_fixity,
 }
 
 #: Equivalents that DuckDB can run; operators that SQL cannot express, or not fast enough, have none.
@@ -56,4 +113,18 @@ ORACLE_SQL: dict[str, str] = {
             sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
             sum(size)::BIGINT AS formatted_chars
         FROM e GROUP BY conv_id""",
+    "op10_warc_fixity": r"""
+        WITH r AS (
+            SELECT DISTINCT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html,
+                coalesce(floor(page_id / 1000)::BIGINT + 1, 0) AS file,
+                'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: '
+                || regexp_replace(coalesce(url, ''), '[\r\n]', ' ', 'g') || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:'
+                || coalesce(page_id::VARCHAR, 'none') || '>' || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, ''))
+                || repeat(chr(13) || chr(10), 2) || coalesce(html, '') || repeat(chr(13) || chr(10), 2) AS record FROM pages),
+        w AS (
+            SELECT page_id, file, row_number() OVER o - 1 AS ordinal, sum(strlen(record)) OVER o AS "end", strlen(record) AS size FROM r
+            WINDOW o AS (PARTITION BY file ORDER BY page_id NULLS FIRST, url, sha256(record) ROWS UNBOUNDED PRECEDING))
+        SELECT page_id, file, ordinal, ("end" - size)::BIGINT AS start, "end"::BIGINT AS "end",
+            CASE WHEN page_id % 97 = 13 OR page_id % 101 = 7 THEN 'altered' ELSE 'missing' END AS status
+        FROM w WHERE page_id % 97 = 13 OR page_id % 101 = 7 OR page_id % 103 = 5""",
 }
