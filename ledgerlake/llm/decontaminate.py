@@ -172,3 +172,27 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, block:
     if len(found) == 1:
         return out.withColumnRenamed("row", "doc_id")
     return keyed.select("row", "doc_id").join(out, "row").drop("row")
+
+
+def _keep(shared, at: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        searches = build_searches([(item, tuple(window.split(b" "))) for item, window in shared.value])
+        for batch in batches:
+            clean = []
+            for text in batch.column(at):
+                words = words_of(text.as_py())
+                clean.append(all(next(search.search(words), None) is None for search in searches))
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return run
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, size: int = 10, block: int = 200_000) -> DataFrame:
+    """The rows of docs, with all their columns, in which no window of the benchmark occurs. One pass for each `block` windows."""
+    windows = materialize(benchmark_windows(benchmark, size), "decontamination_windows")
+    passes = max(1, -(-windows.count() // block))
+    for k in range(passes):
+        some = windows.where(F.pmod(F.xxhash64("window"), F.lit(passes)) == k).select("item_id", "window")
+        shared = docs.sparkSession.sparkContext.broadcast([(r["item_id"], bytes(r["window"])) for r in some.toLocalIterator()])
+        docs = docs.mapInArrow(_keep(shared, docs.columns.index("text")), docs.schema)
+    return docs

@@ -228,3 +228,14 @@ def ngram_jaccard_join(docs: DataFrame, size: int = 3, percent: int = 90, id_col
     named = members.join(smallest, "component").select("cls", "component_id")
     out = rows.select("doc_id", "n_shingles", "cls").join(named, "cls", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "cls"), links
+
+
+def keep_one_of_each(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
+    """docs with one row of each group of linked texts: that of the smallest doc_id. Empty texts all stay.
+
+    Of equal rows one stays, without id too. Rows that share an id with the kept row of a group but hold another text stay.
+    """
+    named, _ = ngram_jaccard_join(docs, size, percent)
+    kept = named.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
+    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    return rows.dropDuplicates(["doc_id", "text"])

@@ -203,3 +203,19 @@ def quality_scores(docs: DataFrame, labels: DataFrame, folds: int = 3, out: int
 def with_fold(scored: DataFrame, folds: int, out: int) -> DataFrame:
     fold = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds)) == out, F.lit(False))
     return scored.select("doc_id", fold.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def _keep(shared, at: int, least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vectors, net = shared.value
+        for batch in batches:
+            x = np.array([features_of(text.as_py(), vectors) for text in batch.column(at)]).reshape(-1, FEATURES)
+            yield batch.filter(pa.array(net.scores(x) >= least))
+
+    return run
+
+
+def keep_quality(docs: DataFrame, labels: DataFrame, folds: int = 3, out: int = 1, least: float = 0.5) -> DataFrame:
+    """The rows of docs, with all their columns, whose quality score is at least `least`."""
+    shared = docs.sparkSession.sparkContext.broadcast(fit_quality(docs, labels, "quality", folds, out))
+    return docs.mapInArrow(_keep(shared, docs.columns.index("text"), least), docs.schema)

@@ -12,6 +12,7 @@ from ledgerlake.llm.ann import nearest_neighbours
 from ledgerlake.llm.chat import chat_digests, conversation_messages, format_chats
 from ledgerlake.llm.decontaminate import decontaminate
 from ledgerlake.llm.ngram_join import ngram_jaccard_join
+from ledgerlake.llm.pii import find_personal_data
 from ledgerlake.llm.quality import quality_scores
 from ledgerlake.llm.sentencepieces import encode_digests
 from ledgerlake.llm.toxicity import toxicity_scores
@@ -43,6 +44,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=3, out=1)
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=5, out=0)
 
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_formatting": op2_chat_formatting,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_personal_data": op5_personal_data,
     "op6_toxicity": op6_toxicity,
     "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_sentencepiece": op8_sentencepiece,
