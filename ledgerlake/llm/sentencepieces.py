@@ -21,13 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: The blank mark of a vocabulary; here pieces and texts are kept with plain blanks, which stand for the same symbol.
 BLANK = "▁"
+_BEFORE, _AFTER = list(range(-1, 63)), list(range(1, 65))
 
 
 class MergeEncoder:
     """Encoder for one model file; `library` is the sentencepiece processor of the same file."""
 
-    def __init__(self, path: str, kept: int = 250_000):
+    def __init__(self, path: str, kept: int = 600_000):
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2
 
@@ -38,17 +40,17 @@ class MergeEncoder:
         spec = model.normalizer_spec
         if model.trainer_spec.model_type != 2 or spec.precompiled_charsmap or spec.remove_extra_whitespaces or not spec.escape_whitespaces or model.trainer_spec.treat_whitespace_as_suffix or any(p.type in (4, 5) for p in model.pieces):
             raise ValueError("needs a merge-type vocabulary with identity normalisation and no user-defined or unused pieces")
-        self.prefix = BLANK if spec.add_dummy_prefix else ""
-        self.id = {p.piece: i for i, p in enumerate(model.pieces) if p.type == 1}
+        self.prefix = " " if spec.add_dummy_prefix else ""
+        self.id = {p.piece.replace(BLANK, " "): i for i, p in enumerate(model.pieces) if p.type == 1}
         scores = sorted({p.score for p in model.pieces if p.type == 1}, reverse=True)
         place = {score: k for k, score in enumerate(scores)}
-        self.rank = {p.piece: place[p.score] for p in model.pieces if p.type == 1}
+        self.rank = {p.piece.replace(BLANK, " "): place[p.score] for p in model.pieces if p.type == 1}
         byte_ids = [i for i, p in enumerate(model.pieces) if p.type == 6]
         if not model.trainer_spec.byte_fallback or len(byte_ids) != 256:
             raise ValueError("needs byte pieces for unknown characters")
         self.bytes, self.begin, self.end = byte_ids, self.library.bos_id(), self.library.eos_id()
-        apart = not any("\n" in piece or BLANK in piece.lstrip(BLANK) for piece in self.id)
-        self.stretches = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n" if apart else r"(?s:.+)").findall
+        apart = not any("\n" in piece or " " in piece.lstrip(" ") for piece in self.id)
+        self.stretches = re.compile(" *[^ \n]+| +|\n" if apart else r"(?s:.+)").findall
         self.kept, self.known, self.older = kept, {}, {}
 
     def merge(self, stretch: str) -> list[str]:
@@ -57,7 +59,7 @@ class MergeEncoder:
         bits = n.bit_length()
         place = (1 << bits) - 1
         symbols: list[str | None] = list(stretch)
-        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        before, after = (_BEFORE[:n], _AFTER[:n]) if n <= len(_AFTER) else (list(range(-1, n - 1)), list(range(1, n + 1)))
         agenda = [rank[pair] << bits | i for i, pair in enumerate(map(operator.add, stretch, stretch[1:])) if pair in rank]
         heapq.heapify(agenda)
         while agenda:
@@ -102,7 +104,7 @@ class MergeEncoder:
         if not text:
             return [self.begin, self.end]
         get, more = self.known.get, self.ids_of
-        parts = [get(x) or more(x) for x in self.stretches(self.prefix + text.replace(" ", BLANK))]
+        parts = [get(x) or more(x) for x in self.stretches(self.prefix + text.replace(BLANK, " "))]
         return [self.begin, *itertools.chain.from_iterable(parts), self.end]
 
 
