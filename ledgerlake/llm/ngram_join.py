@@ -10,9 +10,11 @@ n - ceil(t * n) + 1 tokens of each (the prefix). So candidates must share a pref
   must intersect in both before its sets are compared.
 
 Equal sets are one class from the start. A posting list is not expanded into all its pairs: each list first compares its
-members with one leader (the member with most shared tokens), the verified links give components, and only then are
-pairs between different components of a list compared. So a list of g near copies costs g comparisons, and no
-link between components is lost. Every comparison is of the whole sets.
+members with one leader (the member with most shared tokens), and the verified links give components. Only sets of lists
+that still hold more than one component go on; for them order 1 counts all tokens, so that prefixes and positions are
+exact and what many sets share comes last. Their lists are again compared with leaders, and then pairs between different
+components of a list. So a list of g near copies costs g comparisons, and no link between components is lost: a linked pair
+shares a prefix token in each pass, so it is compared or already in one component. Every comparison is of whole sets.
 """
 
 from __future__ import annotations
@@ -123,6 +125,16 @@ def _packed(size: int, percent: int):
     return run
 
 
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(token, cls, zone): every token of packed sets."""
+    for batch in batches:
+        sets = [_wide(x.as_buffer()) for x in batch.column(1)]
+        if sets:
+            size = np.array([len(x) for x in sets])
+            tokens = np.concatenate(sets).view(np.int64)
+            yield pa.record_batch([pa.array(tokens), pa.array(np.repeat(np.array(batch.column(0).to_pylist(), np.int64), size)), pa.array(np.zeros(len(tokens), np.int8))], ["token", "cls", "zone"])
+
+
 def _share_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Keeps pairs whose prefixes under orders 2 and 3 both intersect."""
     def meet(x: bytes, y: bytes) -> bool:
@@ -174,6 +186,24 @@ def _ordered_pairs(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.select(F.least(f"{x}.cls", f"{y}.cls").alias("a"), F.greatest(f"{x}.cls", f"{y}.cls").alias("b")).distinct()
 
 
+def _placed(index: DataFrame, labels: DataFrame) -> DataFrame:
+    """The index with the component of each class; a class without links is its own."""
+    named = labels.select(F.col("node").alias("cls"), F.col("component").alias("_c"))
+    return index.drop("component").join(named, "cls", "left").withColumn("component", F.coalesce("_c", "cls")).drop("_c")
+
+
+def _open_lists(index: DataFrame) -> DataFrame:
+    """The posting lists that hold more than one component."""
+    return index.join(index.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token"), "token", "left_semi")
+
+
+def _star_pairs(index: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each posting list's leader, its member with most shared tokens, and the members of other components."""
+    lists = index.groupBy("token").agg(F.max_by(F.struct("cls", "n", "pos", "component"), F.struct("shared", "cls")).alias("l"), F.min("component").alias("low"), F.max("component").alias("high"))
+    x, y = index.alias("x"), lists.where("low < high").select("token", "l.*").alias("y")
+    return _ordered_pairs(x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component")) & _may_link(percent, "x", "y")), "x", "y")
+
+
 def _verified(pairs: DataFrame, packed: DataFrame, percent: int) -> DataFrame:
     side = lambda name, *cols: packed.select(F.col("cls").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in cols))
     met = (
@@ -202,25 +232,30 @@ def ngram_jaccard_join(docs: DataFrame, size: int = 3, percent: int = 90, id_col
     postings = base.select("text").mapInArrow(_postings(size, percent), "token long, cls long, zone byte")
     index = materialize(_prefix_index(postings, classes.drop("doc_id"), percent), "shingle_index")
 
-    # order 1, first pass: each posting list against its leader
-    leaders = index.groupBy("token").agg(F.max_by(F.struct("cls", "n", "pos"), F.struct("shared", "cls")).alias("l"), F.min("cls").alias("low"), F.max("cls").alias("high")).where("low < high").select("token", "l.*")
-    near = materialize(_ordered_pairs(index.alias("x").join(leaders.alias("y"), F.col("x.token") == F.col("y.token")).where((F.col("x.cls") != F.col("y.cls")) & _may_link(percent, "x", "y")), "x", "y"), "shingle_stars")
-    multi = index.join(leaders.select("token"), "token", "left_semi")
-    wanted = multi.select("cls").distinct().join(classes.select("cls", "doc_id"), "cls")
+    # first pass: each posting list against its leader
+    index = index.withColumn("component", F.col("cls"))
+    near = materialize(_star_pairs(index, percent), "shingle_stars")
+    wanted = _open_lists(index).select("cls").distinct().join(classes.select("cls", "doc_id"), "cls")
     packed = materialize(base.join(wanted.where("doc_id IS NOT NULL"), "doc_id").select("cls", "text").mapInArrow(_packed(size, percent), "cls long, n long, second binary, third binary, tokens binary").dropDuplicates(["cls"]), "shingle_sets")
     links = materialize(_verified(near, packed, percent), "shingle_links")
 
-    # second pass: pairs of a list that are in different components by now
+    # second pass: sets of lists that still meet other components, by frequencies of all their tokens
+    labels = connected_components(links)
+    left = materialize(_open_lists(_placed(index, labels)).select("cls").distinct(), "shingle_open")
+    sets = packed.join(left, "cls").select("cls", "n", "tokens")
+    fine = _prefix_index(sets.select("cls", "tokens").mapInArrow(_unpacked, "token long, cls long, zone byte"), sets.select("cls", "n", F.col("n").alias("counted"), F.lit(0).alias("rest")), percent)
+    fine = materialize(fine, "shingle_index")
+    links2 = materialize(_verified(_star_pairs(_placed(fine, labels), percent), packed, percent), "shingle_links")
+    links = links.unionByName(links2)
+
+    # third pass: all pairs of a list that are in different components by now
     labels = connected_components(links)
-    placed = multi.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    open_lists = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
-    left = placed.join(open_lists, "token", "left_semi")
-    x, y = left.alias("x"), left.alias("y")
-    rest = _ordered_pairs(x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") < F.col("y.component")) & _may_link(percent, "x", "y")), "x", "y").join(near, ["a", "b"], "left_anti")
-    more = materialize(_verified(rest, packed, percent), "shingle_links")
-    links = links.unionByName(more)
-    final = connected_components(links).withColumnRenamed("node", "cls") if not more.isEmpty() else labels.withColumnRenamed("node", "cls")
-    for used in (index, packed):
+    x, y = (_open_lists(_placed(fine, labels)).alias(name) for name in "xy")
+    rest = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") < F.col("y.component")) & _may_link(percent, "x", "y"))
+    links3 = materialize(_verified(_ordered_pairs(rest, "x", "y"), packed, percent), "shingle_links")
+    links = links.unionByName(links3)
+    final = (labels if links3.isEmpty() else connected_components(links)).withColumnRenamed("node", "cls")
+    for used in (index, fine, packed):
         discard(used)
 
     members = classes.select("cls", "doc_id").join(final, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
