@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -56,10 +57,13 @@ def reply_paths(messages: DataFrame, tree: str = "tree", message: str = "message
     leaves = nodes.select("tree", "node").join(links.select("tree", F.col("anc").alias("node")), ["tree", "node"], "left_anti")
     if lost is not None:
         leaves = leaves.join(lost, ["tree", "node"], "left_anti")
-    paths = leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up"))
+    # each step writes only the messages that its jump adds, so the plan grows by one scan a step
+    parts = [materialize(leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up")), "reply_part")]
     for k in reversed(range(len(jumps))):
+        paths = reduce(DataFrame.union, parts)
         further = paths.join(jumps[k], ["tree", "node"]).select("tree", "leaf", F.col("anc").alias("node"), (F.col("up") + 2**k).alias("up"))
-        paths = paths.union(further)
+        parts.append(materialize(further, "reply_part"))
+    paths = reduce(DataFrame.union, parts)
     return paths.withColumnRenamed("node", "message")
 
 
