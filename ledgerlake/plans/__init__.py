@@ -1 +1 @@
-
+"""Registered queries over the input tables."""
