@@ -13,6 +13,8 @@ import hashlib
 import heapq
 import operator
 import re
+import sys
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -124,7 +126,10 @@ class _Known(dict):
 
 
 def pack(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
 
 
 _ENCODERS: dict[str, MergeEncoder] = {}
