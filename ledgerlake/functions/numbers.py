@@ -32,7 +32,7 @@ def head_count(c: Column) -> Column:
 
 
 def _date(y: Column, m: Column, d: Column) -> Column:
-    return F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")).try_cast("date")
+    return F.concat(y, F.lit("-"), F.lpad(m, 2, "0"), F.lit("-"), F.lpad(d, 2, "0")).try_cast("date")
 
 
 def to_date(c: Column) -> Column:

@@ -110,7 +110,7 @@ def ladder(rules: list[tuple[Column, object]], default: object = None) -> Column
 
 def html_safe(json: Column) -> Column:
     """JSON text that can stand inside a script element."""
-    for sign, code in (("&", "\\u0026"), ("<", "\\u003c"), (">", "\\u003e"), (" ", "\\u2028"), (" ", "\\u2029")):
+    for sign, code in (("&", "\\u0026"), ("<", "\\u003c"), (">", "\\u003e"), ("\u2028", "\\u2028"), ("\u2029", "\\u2029")):
         json = F.replace(json, F.lit(sign), F.lit(code))
     return json
 

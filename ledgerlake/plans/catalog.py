@@ -1,6 +1,6 @@
 """All registered queries: importing the modules fills the registry."""
 
-from ledgerlake.plans import matching, ranking  # noqa: F401
+from ledgerlake.plans import gates, matching, ranking, serving, texts  # noqa: F401
 from ledgerlake.plans.registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
