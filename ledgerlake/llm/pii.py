@@ -230,6 +230,10 @@ def _joined(a: Column) -> Column:
     return F.array_join(F.transform(a, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _count(kind: int) -> Column:
+    return F.size(F.filter("base", lambda c: c["kind"] == kind))
+
+
 def find_personal_data(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) for every row of docs, whole texts.
 
@@ -241,7 +245,7 @@ def find_personal_data(docs: DataFrame, id_column: str = "doc_id", text_column:
     found = materialize(with_candidates(base).select("doc_id", "base", "loose"), "pii_candidates")
     out = with_spans(found, fit_span_model(found))
     ordered = F.array_sort(F.transform("base", lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"))))
-    return out.select("doc_id", *(F.size(F.filter("base", lambda c, k=k: c["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)), F.sha2(_joined(ordered), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
+    return out.select("doc_id", *(_count(k).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)), F.sha2(_joined(ordered), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
 
 
 def mask_personal_data(docs: DataFrame, text_column: str = "text") -> DataFrame:
@@ -249,10 +253,12 @@ def mask_personal_data(docs: DataFrame, text_column: str = "text") -> DataFrame:
 
     Null texts stay null. The votes are counted in a first pass over docs, the spans are found again in the second.
     """
-    votes = materialize(with_candidates(docs.select(text_column), text_column).select("base", "loose"), "pii_votes")
+    # all columns of a row travel in one struct, so that their names cannot clash with those added here
+    packed = docs.select(F.struct("*").alias("row"), F.col(text_column).cast("string").alias("text"))
+    votes = materialize(with_candidates(packed.select("text")).select("base", "loose"), "pii_votes")
     model = fit_span_model(votes)
     discard(votes)
-    text = F.col(text_column)
+    text = F.col("text")
     names = F.array(*(F.lit(f"<{k.upper()}>") for k in KINDS))
     by_place = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
@@ -263,5 +269,6 @@ def mask_personal_data(docs: DataFrame, text_column: str = "text") -> DataFrame:
         return F.struct(F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], gap, F.get(names, s["kind"]))).alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
 
     masked = F.aggregate(by_place, start, step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.length(text))))
-    out = with_spans(with_candidates(docs, text_column), model)
-    return out.withColumn(text_column, F.when(F.size("spans") > 0, masked).otherwise(text)).select(*docs.columns)
+    out = with_spans(with_candidates(packed), model).withColumn("text", F.when(F.size("spans") > 0, masked).otherwise(text))
+    field = lambda c: F.col("row").getField(c)
+    return out.select(*(text.alias(c) if c == text_column else field(c).alias(c) for c in docs.columns))
