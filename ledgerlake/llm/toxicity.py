@@ -40,6 +40,8 @@ for _a, _b in READ_AS.items():
     _CLASS[ord(_a)] = ord(_b) - 97
 for _c in (0x20, *range(0x09, 0x0E), 0x85, 0xA0):
     _CLASS[_c] = _SPACE
+#: A letter of each class: letters_of() gives a text written in them its classes again.
+NAMES = "abcdefghijklmnopqrstuvwxyzäåàáâã"
 _NORM = np.sqrt(np.maximum([sum(w * w * max(0, n - i - j) for i, j, w in GAPS) for n in range(1024)], 1e-12))
 
 
@@ -138,13 +140,12 @@ def fit_documents(x: np.ndarray, y: np.ndarray, steps: int = 60) -> np.ndarray:
 
 def _plain_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(y, word, before): the distinct words of each text with the words before them, as the kernel reads them."""
-    names = "abcdefghijklmnopqrstuvwxyzàèìòùý"
     for batch in batches:
         labels, words, before = [], [], []
         for y, text in zip(batch.column(1).to_pylist(), batch.column(2)):
             letters, starts = letters_of(text.as_py())
             ends = np.append(starts[1:], len(letters)).tolist()
-            line = "".join(map(names.__getitem__, letters.tolist()))
+            line = "".join(map(NAMES.__getitem__, letters.tolist()))
             all_words = ["", *(line[a:b] for a, b in zip(starts.tolist(), ends))]
             found = {(w, p) for p, w in zip(all_words, all_words[1:]) if 3 <= len(w) <= 24}
             words += [w for w, _ in found]
