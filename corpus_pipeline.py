@@ -20,8 +20,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts that share 90 % of their 3-word shingles, the document with the smallest id stays."""
-    return keep_one_of_each(docs, size=3, percent=90)
+    """Of each group of texts that share 80 % of their 5-word shingles, the document with the smallest id stays."""
+    return keep_one_of_each(docs, size=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -41,3 +41,14 @@ def test_stages_on_odd_tables(spark, rows):
         if name != corpus_pipeline.STAGES[-1][0]:
             assert out.columns == docs.columns
         assert out.count() <= max(len(rows), 0)
+
+
+def test_near_duplicate_stage(spark):
+    own = [f"w{i}" for i in range(500)]
+    edited = [f"e{i}" if i % 50 == 25 else w for i, w in enumerate(own)]
+    longer = own[:300] + [f"n{i}" for i in range(90)] + own[300:]
+    other = [f"o{i}" if i % 40 == 20 else w for i, w in enumerate(own)]
+    texts = [(i, " ".join(w)) for i, w in enumerate([own, edited, longer, other])]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    kept = sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect())
+    assert kept == [d for d, _, c in brute_components(texts, 5, 80) if d == c] == [0, 3]
