@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ledgerlake.storage import discard, materialize
 
 KINDS = ["email", "ip", "card", "phone"]
-#: Candidate types: kind, pattern, and text without which the pattern cannot match.
+#: Candidate types: kind, pattern, and lower-case text, or else a pattern, without which the pattern cannot match.
 TYPES = {
     "email": ("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "@"),
     "ip": ("ip", r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", "."),
@@ -32,6 +32,8 @@ TYPES = {
     "phone_plain": ("phone", r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9-])", None),
     "card_other": ("card", r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}(?![\x20-]?[0-9])", None),
 }
+#: For types without such text. The digits of a card number may all stand apart.
+NEEDS = {"card": r"[0-9][\x20-]?[0-9][\x20-]?[0-9]", "card_other": r"[0-9][\x20-]?[0-9][\x20-]?[0-9]", "phone_plain": "[0-9]{3}"}
 BASE = ["email", "ip", "card", "phone"]
 LABELERS = ["format", "gazetteer", "context", "neighbours", "shape"]
 
@@ -41,9 +43,10 @@ FOR = r"(?i)(?:e-?mail|mailto|contact|write|courriel|correo|call|phone|tel|mobil
 AGAINST = r"(?i)(?:version|release|v|isbn|issn|section|chapter|figure|fig|order|invoice|no|id|ref|build|sku|part|serial)[\W_]{0,3}$"
 
 
-def _matches(text: Column, pattern: str, hint: str | None) -> Column:
+def _matches(name: str, text: Column) -> Column:
+    _, pattern, hint = TYPES[name]
     none = F.array().cast("array<string>")
-    there = F.contains(text, F.lit(hint)) if hint else text.rlike("[0-9]{3}")
+    there = text.rlike(NEEDS[name]) if hint is None else F.contains(F.lower(text) if hint.isalpha() else text, F.lit(hint))
     return F.when(there, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none)
 
 
@@ -121,7 +124,7 @@ def with_candidates(docs: DataFrame, text_column: str = "text") -> DataFrame:
     are dropped and not tried again. Loose candidates that overlap a base candidate are left out.
     """
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    out = docs.select("*", *(_matches(text, p, hint).alias(f"_m_{name}") for name, (_, p, hint) in TYPES.items()))
+    out = docs.select("*", *(_matches(name, text).alias(f"_m_{name}") for name in TYPES))
     # pieces only where there is a match; -1 keeps empty pieces at the end
     out = out.select("*", *(F.when(F.size(f"_m_{name}") > 0, F.split(text, p, -1)).alias(f"_p_{name}") for name, (_, p, _) in TYPES.items()))
     made = {name: _candidates_of(name, text, F.col(f"_m_{name}"), F.col(f"_p_{name}")) for name in TYPES}

@@ -202,6 +202,18 @@ def test_personal_data(spark):
     assert pii.find_personal_data(docs_of(spark, [])).count() == 0
 
 
+def test_personal_data_spelled_apart(spark):
+    digits = "4111111111111111"
+    texts = [(0, "pay " + " ".join(digits)), (1, "-".join([digits[:1], *(digits[i : i + 2] for i in range(1, 15, 2)), digits[15:]])), (2, "-".join(digits[i : i + 2] for i in range(0, 16, 2))), (3, "4 1")]
+    got = {r["doc_id"]: r for r in pii.find_personal_data(docs_of(spark, texts)).collect()}
+    for i, t in texts:
+        assert got[i]["base_sha256"] == hashlib.sha256(",".join(brute_base(t)).encode()).hexdigest() and got[i]["n_card"] == len(brute_base(t)) == (i < 3)
+    assert pii.mask_personal_data(docs_of(spark, texts)).where("doc_id = 0").first()["text"] == "pay <CARD>"
+    other = [(0, "user (AT) site (DOT) com"), (1, "user at site Dot com"), (2, "3 7 8 2 8 2 2 4 6 3 1 0 0 0 5")]
+    found = {r["doc_id"]: [c["type"] for c in r["loose"]] for r in pii.with_candidates(docs_of(spark, other).select("doc_id", "text")).collect()}
+    assert found == {0: ["mail_words"], 1: ["mail_words"], 2: ["card_other"]}
+
+
 def test_masking(spark):
     d = docs_of(spark, [(1, "é write to a@b.org or 1.2.3.4."), (2, None), (3, "nothing")])
     out = pii.mask_personal_data(d)
