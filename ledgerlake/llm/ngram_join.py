@@ -87,7 +87,7 @@ def _classes(size: int, percent: int):
                 tokens = tokens_of(text.as_py(), size)
                 low, high = split_tokens(tokens, percent)
                 n.append(len(tokens)), counted.append(len(low)), rest.append(len(high)), key.append(class_of(tokens) if len(tokens) else None)
-            yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(counted, pa.int32()), pa.array(rest, pa.int32()), pa.array(key, pa.int64())], ["doc_id", "n_shingles", "counted", "rest", "cls"])
+            yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(counted, pa.int32()), pa.array(rest, pa.int32()), pa.array(key, pa.int64()), batch.column(2)], ["doc_id", "n_shingles", "counted", "rest", "cls", "row_key"])
 
     return run
 
@@ -113,11 +113,16 @@ def _postings(size: int, percent: int):
 
 def _packed(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             keys, n, second, third, sets = [], [], [], [], []
             for wanted, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if wanted in seen:
+                    continue
                 tokens = tokens_of(text.as_py(), size)
-                if len(tokens) and class_of(tokens) == wanted:  # rows that repeat an id may hold another text
+                if len(tokens) and class_of(tokens) == wanted:  # rows of one key may hold another text
+                    if len(seen) < 1_000_000:  # only spares work: equal rows without id have one key
+                        seen.add(wanted)
                     a, b = _prefixes(tokens, percent)
                     keys.append(wanted), n.append(len(tokens)), second.append(a), third.append(b), sets.append(_low_bytes(tokens, WIDE))
             yield pa.record_batch([pa.array(keys, pa.int64()), pa.array(n, pa.int64()), *(pa.array(x, pa.binary()) for x in (second, third, sets))], ["cls", "n", "second", "third", "tokens"])
@@ -213,6 +218,11 @@ def _verified(pairs: DataFrame, packed: DataFrame, percent: int) -> DataFrame:
     return met.join(side("a", "tokens"), "a").join(side("b", "tokens"), "b").select("a", "b", "a_tokens", "b_tokens").mapInArrow(_compare(percent), "a long, b long")
 
 
+def _row_key(doc_id: F.Column, text: F.Column) -> F.Column:
+    """A 64-bit hash of a row's id and text, by which rows without id are found again."""
+    return F.xxhash64(doc_id.cast("long"), text.cast("string"))
+
+
 def ngram_jaccard_join(docs: DataFrame, size: int = 3, percent: int = 90, id_column: str = "doc_id", text_column: str = "text") -> tuple[DataFrame, DataFrame]:
     """Links texts whose sets of `size`-word shingles have a Jaccard similarity of at least percent / 100.
 
@@ -222,21 +232,27 @@ def ngram_jaccard_join(docs: DataFrame, size: int = 3, percent: int = 90, id_col
 
     Words are runs of anything but ASCII white space, A-Z lower-cased. A text with fewer words than `size` has its whole
     sequence as one shingle. Null and empty texts have an empty set and are linked with nothing; a row whose doc_id is
-    null keeps its own row and does not name a component unless its class has no other row (then null). Rows that
+    null is linked like any other but names no component: component_id is null if no linked row has an id. Rows that
     repeat an id are rows of their own. Equal rows are one class. Other columns are ignored. An empty table gives none.
     Shingles, and sets for equality, are compared by 64-bit hashes, sets for similarity by 40 bits of them.
     """
-    base = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    rows = materialize(base.mapInArrow(_classes(size, percent), "doc_id long, n_shingles long, counted int, rest int, cls long"), "shingle_classes")
-    classes = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.first("n_shingles").alias("n"), F.first("counted").alias("counted"), F.first("rest").alias("rest"), F.min("doc_id").alias("doc_id"))
+    documents, links = _linked(docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")), size, percent)
+    return documents.select("doc_id", "n_shingles", "component_id", "cls"), links
+
+
+def _linked(base: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """ngram_jaccard_join() of (doc_id, text); its documents have each row's row_key and component, a class, too."""
+    base = base.withColumn("row_key", _row_key(F.col("doc_id"), F.col("text")))
+    rows = materialize(base.mapInArrow(_classes(size, percent), "doc_id long, n_shingles long, counted int, rest int, cls long, row_key long"), "shingle_classes")
+    classes = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.first("n_shingles").alias("n"), F.first("counted").alias("counted"), F.first("rest").alias("rest"), F.min("doc_id").alias("doc_id"), F.min("row_key").alias("row_key"))
     postings = base.select("text").mapInArrow(_postings(size, percent), "token long, cls long, zone byte")
-    index = materialize(_prefix_index(postings, classes.drop("doc_id"), percent), "shingle_index")
+    index = materialize(_prefix_index(postings, classes.drop("doc_id", "row_key"), percent), "shingle_index")
 
     # first pass: each posting list against its leader
     index = index.withColumn("component", F.col("cls"))
     near = materialize(_star_pairs(index, percent), "shingle_stars")
-    wanted = _open_lists(index).select("cls").distinct().join(classes.select("cls", "doc_id"), "cls")
-    packed = materialize(base.join(wanted.where("doc_id IS NOT NULL"), "doc_id").select("cls", "text").mapInArrow(_packed(size, percent), "cls long, n long, second binary, third binary, tokens binary").dropDuplicates(["cls"]), "shingle_sets")
+    wanted = _open_lists(index).select("cls").distinct().join(classes.select("cls", "row_key"), "cls")
+    packed = materialize(base.join(wanted, "row_key").select("cls", "text").mapInArrow(_packed(size, percent), "cls long, n long, second binary, third binary, tokens binary").dropDuplicates(["cls"]), "shingle_sets")
     links = materialize(_verified(near, packed, percent), "shingle_links")
 
     # second pass: sets of lists that still meet other components, by frequencies of all their tokens
@@ -260,17 +276,21 @@ def ngram_jaccard_join(docs: DataFrame, size: int = 3, percent: int = 90, id_col
 
     members = classes.select("cls", "doc_id").join(final, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     smallest = members.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = members.join(smallest, "component").select("cls", "component_id")
-    out = rows.select("doc_id", "n_shingles", "cls").join(named, "cls", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "cls"), links
+    named = members.join(smallest, "component").select("cls", "component", "component_id")
+    out = rows.select("doc_id", "n_shingles", "cls", "row_key").join(named, "cls", "left")
+    return out.withColumn("component_id", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))), links
 
 
 def keep_one_of_each(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
     """docs with one row of each group of linked texts: that of the smallest doc_id. Empty texts all stay.
 
-    Of equal rows one stays, without id too. Rows that share an id with the kept row of a group but hold another text stay.
+    A group without any id keeps one of its texts. Of equal rows one stays, without id too. Rows that share an id with the
+    kept row of a group but hold another text stay.
     """
-    named, _ = ngram_jaccard_join(docs, size, percent)
-    kept = named.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    named, _ = _linked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), size, percent)
+    by_id = named.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept"), F.lit(None).cast("long").alias("_key")).distinct()
+    no_id = named.where("doc_id IS NULL AND component_id IS NULL").groupBy("component", F.when(F.col("cls").isNull(), F.col("row_key")).alias("empty"))
+    kept = by_id.unionByName(no_id.agg(F.min("row_key").alias("_key")).select(F.lit(None).cast("long").alias("_kept"), "_key"))
+    key = F.when(docs["doc_id"].isNull(), _row_key(docs["doc_id"], docs["text"]))
+    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]) & key.eqNullSafe(kept["_key"]), "left_semi")
     return rows.dropDuplicates(["doc_id", "text"])

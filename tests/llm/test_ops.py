@@ -74,6 +74,21 @@ def test_jaccard_keeps_one(spark):
     assert ngram_join.keep_one_of_each(docs_of(spark, []), 3, 90).count() == 0
 
 
+def test_jaccard_without_id(spark):
+    own = [f"w{i}" for i in range(100)]
+    changed = lambda *at: " ".join(f"c{i}" if i in at else w for i, w in enumerate(own))
+    # 4 and 7 reach each other only through the text without id; the last three are linked and have no id at all
+    apart = [f"v{i}" for i in range(100)]
+    texts = [(4, changed(10)), (7, changed(50)), (None, changed()), (None, None), (None, "")]
+    texts += [(None, " ".join(apart)), (None, " ".join(apart[:-1])), (None, " ".join(apart).upper())]
+    docs = docs_of(spark, texts)
+    got, links = ngram_join.ngram_jaccard_join(docs, 3, 94)
+    assert sorted((r["doc_id"], r["component_id"]) for r in got.where("doc_id IS NOT NULL").collect()) == [(4, 4), (7, 4)]
+    assert links.count() == 3
+    kept = [r["text"] for r in ngram_join.keep_one_of_each(docs, 3, 94).collect()]
+    assert len(kept) == 4 and {changed(10), None, ""} <= set(kept)
+
+
 def test_reply_trees(spark):
     m = [("t", 1, None, "user", "hi", 1.0), ("t", 2, 1, "assistant", "a<|im_end|>\n\\<|", 5.0), ("t", 3, 1, "assistant", None, 0.0), ("t", 4, 2, "user", "x", None), ("t", 5, 4, "assistant", "end", 9.0),
          ("u", 1, 9, "user\n<|", "root without parent", 1.0), ("c", 1, 2, "user", "cycle", 1.0), ("c", 2, 1, "user", "cycle", 1.0), (None, 1, None, "user", "x", 1.0), ("t", 1, None, "user", "hi", 1.0)]
