@@ -8,7 +8,10 @@ each labeler's reliability and the probability of each pattern, and a logistic s
 probabilities. Base spans always stay; a looser candidate is added where the classifier gives it at least one half.
 
 The patterns match what the plain ones do but start only where a run starts, so that long runs are read once:
-e-mail at the start of a run or where the last match ended; card numbers by their bounded number of digits.
+e-mail at the start of a run or where the last match ended; card numbers by their bounded number of digits. The labels
+of an address repeat possessively: nothing follows them, so the match is the same, and the loop takes no stack. Places
+come from running sums in blocks, and contexts from the pieces between matches, so a text with very many matches costs
+in proportion to its length.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from ledgerlake.storage import discard, materialize
 KINDS = ["email", "ip", "card", "phone"]
 #: Candidate types: kind, pattern, and lower-case text, or else a pattern, without which the pattern cannot match.
 TYPES = {
-    "email": ("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "@"),
+    "email": ("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++", "@"),
     "ip": ("ip", r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", "."),
     "card": ("card", r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}(?![\x20-]?[0-9])", None),
     "phone": ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+"),
@@ -96,22 +99,51 @@ def _votes(kind: str, m: Column, before: Column, after: Column) -> list[Column]:
     return [strict, vote(known, ~known), vote(before.rlike(FOR), before.rlike(AGAINST)), vote(apart, ~apart), vote(typical.get(kind, F.lit(False)) & ~dull, dull)]
 
 
-def _candidates_of(name: str, text: Column, found: Column, rest: Column) -> Column:
-    """Structs of the valid candidates of one type, from its matches and the pieces of text between them."""
+#: Entries of a block of a running fold.
+BLOCK = 128
+
+
+def _sizes(found: Column, rest: Column) -> Column:
+    return F.transform(found, lambda x, i: F.length(x) + F.length(F.get(rest, i)))
+
+
+def _blocks(items: Column, fold) -> Column:
+    """For each block of an array, the fold of all entries before it; items must be a column, not an expression."""
+    n = F.ceil(F.size(items) / F.lit(BLOCK)).cast("int")
+    at = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))
+    return F.transform(at, lambda b: fold(F.slice(items, F.lit(1), b * BLOCK)))
+
+
+def _sum(a: Column) -> Column:
+    return F.aggregate(a, F.lit(0), lambda s, x: s + x)
+
+
+def _before(items: Column, blocks: Column, i: Column, fold, join) -> Column:
+    """The fold of the entries before place i, from the blocks' folds and the rest of its own block.
+
+    blocks is read in two places: the optimizer copies a column that is read once into its reader, here into the lambda,
+    where it would be computed for every entry again."""
+    b = F.floor(i / F.lit(BLOCK)).cast("int")
+    return join(F.coalesce(F.get(blocks, b), F.get(blocks, F.lit(0))), fold(F.slice(items, b * BLOCK + 1, i % BLOCK)))
+
+
+def _candidates_of(name: str, found: Column, rest: Column, sizes: Column, blocks: Column) -> Column:
+    """Structs of the valid candidates of one type, from its matches, the pieces of text before and behind them, the
+    sizes of piece and match together and their running sums. A context reaches back over one earlier match at most."""
     kind = TYPES[name][0]
-    size = lambda a: F.aggregate(a, F.lit(0), lambda s, x: s + F.length(x))
 
     def one(m: Column, i: Column) -> Column:
-        return F.struct(m.alias("m"), (size(F.slice(rest, F.lit(1), i + 1)) + size(F.slice(found, F.lit(1), i))).alias("start"))
+        piece = F.get(rest, i)
+        start = _before(sizes, blocks, i, _sum, lambda a, b: a + b) + F.length(piece)
+        back = F.concat(F.coalesce(F.get(rest, i - 1), F.lit("")), F.coalesce(F.get(found, i - 1), F.lit("")), piece)
+        front = F.concat(F.get(rest, i + 1), F.coalesce(F.get(found, i + 1), F.lit("")))
+        return F.struct(m.alias("m"), start.alias("start"), F.right(back, F.lit(32)).alias("before"), F.left(front, F.lit(2)).alias("after"))
 
     def voted(c: Column) -> Column:
-        m, start = c["m"], c["start"]
-        end = start + F.length(m)
-        before = F.substr(text, F.greatest(F.lit(1), start - 31), F.least(start, F.lit(32)))
-        after = F.substr(text, end + 1, F.lit(2))
+        m = c["m"]
         bucket = F.when(F.length(m) < 14, 0).when(F.length(m) < 20, 1).otherwise(2)
-        votes = _votes(name, m, before, after)
-        return F.struct(F.lit(name).alias("type"), F.lit(KINDS.index(kind)).alias("kind"), start.alias("start"), end.alias("end"), bucket.alias("bucket"), *(v.cast("int").alias(x) for v, x in zip(votes, LABELERS)))
+        votes = _votes(name, m, c["before"], c["after"])
+        return F.struct(F.lit(name).alias("type"), F.lit(KINDS.index(kind)).alias("kind"), c["start"].alias("start"), (c["start"] + F.length(m)).alias("end"), bucket.alias("bucket"), *(v.cast("int").alias(x) for v, x in zip(votes, LABELERS)))
 
     none = F.array().cast(f"array<struct<type:string,kind:int,start:int,end:int,bucket:int,{','.join(f'{x}:int' for x in LABELERS)}>>")
     return F.when(F.size(found) > 0, F.transform(F.filter(F.transform(found, one), lambda c: _valid(name, c["m"])), voted)).otherwise(none)
@@ -124,13 +156,27 @@ def with_candidates(docs: DataFrame, text_column: str = "text") -> DataFrame:
     are dropped and not tried again. Loose candidates that overlap a base candidate are left out.
     """
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    out = docs.select("*", *(_matches(name, text).alias(f"_m_{name}") for name in TYPES))
+    m, p, n, b = ({name: f"_{k}_{name}" for name in TYPES} for k in "mpnb")
+    # each step keeps the last one's columns: so Spark computes them once for a row, not once for an entry
+    out = docs.select("*", *(_matches(name, text).alias(m[name]) for name in TYPES))
     # pieces only where there is a match; -1 keeps empty pieces at the end
-    out = out.select("*", *(F.when(F.size(f"_m_{name}") > 0, F.split(text, p, -1)).alias(f"_p_{name}") for name, (_, p, _) in TYPES.items()))
-    made = {name: _candidates_of(name, text, F.col(f"_m_{name}"), F.col(f"_p_{name}")) for name in TYPES}
-    out = out.select("*", F.concat(*(made[n] for n in BASE)).alias("base"), F.concat(*(made[n] for n in TYPES if n not in BASE)).alias("_loose"))
-    clear = F.filter("_loose", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    return out.withColumn("loose", F.when(F.size("_loose") > 0, clear).otherwise(F.col("_loose"))).drop("_loose", *(f"_{k}_{n}" for k in "mp" for n in TYPES))
+    out = out.select("*", *(F.when(F.size(m[name]) > 0, F.split(text, pattern, -1)).alias(p[name]) for name, (_, pattern, _) in TYPES.items()))
+    out = out.select("*", *(F.when(F.size(m[name]) > 0, _sizes(F.col(m[name]), F.col(p[name]))).alias(n[name]) for name in TYPES))
+    out = out.select("*", *(F.when(F.size(m[name]) > 0, _blocks(F.col(n[name]), _sum)).alias(b[name]) for name in TYPES))
+    made = {name: _candidates_of(name, *(F.col(x[name]) for x in (m, p, n, b))) for name in TYPES}
+    out = out.select("*", F.concat(*(made[k] for k in BASE)).alias("base"), F.concat(*(made[k] for k in TYPES if k not in BASE)).alias("_loose"))
+    # blocks of base candidates with their reach, so that a loose one is compared with those of few blocks only
+    some = lambda b: F.slice("base", b * BLOCK + 1, F.lit(BLOCK))
+    reach = F.transform(
+        F.sequence(F.lit(0), F.floor(F.size("base") / F.lit(BLOCK)).cast("int")),
+        lambda b: F.struct(F.array_min(F.transform(some(b), lambda c: c["start"])).alias("low"), F.array_max(F.transform(some(b), lambda c: c["end"])).alias("high"), b.alias("b")),
+    )
+    out = out.select("*", F.when(F.size("_loose") > 0, reach).alias("_reach"))
+    meet = lambda x, low, high: (low < x["end"]) & (x["start"] < high)
+    hit = lambda x: F.exists("_reach", lambda r: meet(x, r["low"], r["high"]) & F.exists(some(r["b"]), lambda c: meet(x, c["start"], c["end"])))
+    clear = F.filter("_loose", lambda x: ~F.coalesce(hit(x), F.lit(False)))
+    out = out.withColumn("loose", F.when((F.size("_loose") > 0) & F.col("_reach").isNotNull(), clear).otherwise(F.col("_loose")))
+    return out.drop("_loose", "_reach", *(x[name] for x in (m, p, n, b) for name in TYPES))
 
 
 @dataclass
@@ -222,10 +268,12 @@ def fit_span_model(candidates: DataFrame) -> SpanModel:
 
 
 def with_spans(candidates: DataFrame, model: SpanModel) -> DataFrame:
-    """candidates with `spans`: base candidates and the loose ones that the classifier takes, by kind and place."""
+    """candidates with `spans`: base candidates and the loose ones that the classifier takes, by kind and place.
+
+    No span comes twice: a type's matches do not overlap, and no two types beside the base ones have one kind."""
     plain = lambda a: F.transform(a, lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
     taken = F.when(F.size("loose") > 0, F.filter("loose", lambda c: model.probability(c) >= 0.5)).otherwise(F.col("loose"))
-    return candidates.withColumn("spans", F.array_sort(F.array_distinct(F.concat(plain(F.col("base")), plain(taken)))))
+    return candidates.withColumn("spans", F.array_sort(F.concat(plain(F.col("base")), plain(taken))))
 
 
 def _joined(a: Column) -> Column:
@@ -254,24 +302,28 @@ def find_personal_data(docs: DataFrame, id_column: str = "doc_id", text_column:
 def mask_personal_data(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """docs with every span of its text replaced by its kind in angle brackets; overlapping spans become the first's kind.
 
-    Null texts stay null. The votes are counted in a first pass over docs, the spans are found again in the second.
+    Null and empty texts stay as they are, and so do all other columns; rows that repeat stay as often. The candidates
+    are found once and kept with their rows in a table, from which the model is fitted and the texts are masked.
     """
     # all columns of a row travel in one struct, so that their names cannot clash with those added here
     packed = docs.select(F.struct("*").alias("row"), F.col(text_column).cast("string").alias("text"))
-    votes = materialize(with_candidates(packed.select("text")).select("base", "loose"), "pii_votes")
-    model = fit_span_model(votes)
-    discard(votes)
-    text = F.col("text")
-    names = F.array(*(F.lit(f"<{k.upper()}>") for k in KINDS))
+    found = materialize(with_candidates(packed).select("row", "text", "base", "loose"), "pii_candidates")
+    text, spans = F.col("text"), with_spans(found, fit_span_model(found))
     by_place = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+    # each step keeps the last one's columns, as in with_candidates()
+    out = spans.select("*", by_place.alias("_s"), F.transform(by_place, lambda s: s["end"]).alias("_ends"))
+    furthest = lambda a: F.coalesce(F.array_max(a), F.lit(0))
+    # a text with many spans is cut by signs, so that no cut reads it from its start
+    out = out.select("*", _blocks(F.col("_ends"), furthest).alias("_far"), F.when(F.size("_s") > 64, F.split(text, "")).alias("_signs"))
+    cut = lambda a, n: F.when(F.col("_signs").isNotNull(), F.array_join(F.slice("_signs", a + 1, n), "")).otherwise(F.substr(text, a + 1, n))
+    names = F.array(*(F.lit(f"<{k.upper()}>") for k in KINDS))
 
-    def step(acc: Column, s: Column) -> Column:
-        inside = s["start"] < acc["at"]
-        gap = F.substr(text, acc["at"] + 1, s["start"] - acc["at"])
-        return F.struct(F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], gap, F.get(names, s["kind"]))).alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
+    def piece(s: Column, i: Column) -> Column:
+        done = _before(F.col("_ends"), F.col("_far"), i, furthest, F.greatest)
+        return F.when(s["start"] < done, "").otherwise(F.concat(cut(done, F.greatest(s["start"] - done, F.lit(0))), F.get(names, s["kind"])))
 
-    masked = F.aggregate(by_place, start, step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.length(text))))
-    out = with_spans(with_candidates(packed), model).withColumn("text", F.when(F.size("spans") > 0, masked).otherwise(text))
+    end = furthest(F.col("_ends"))
+    masked = F.concat(F.array_join(F.transform("_s", piece), ""), cut(end, F.greatest(F.length(text) - end, F.lit(0))))
+    out = out.select("*", F.when(F.size("_s") > 0, masked).otherwise(text).alias("_masked"))
     field = lambda c: F.col("row").getField(c)
-    return out.select(*(text.alias(c) if c == text_column else field(c).alias(c) for c in docs.columns))
+    return out.select(*(F.col("_masked").alias(c) if c == text_column else field(c).alias(c) for c in docs.columns))
