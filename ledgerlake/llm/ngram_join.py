@@ -35,8 +35,11 @@ from ledgerlake.storage import discard, materialize
 COUNTED = np.uint64(2**64 // 5)
 #: Seeds of orders 2 and 3.
 SEEDS = np.array([0x5851F42D4C957F2D, 0x14057B7EF767814F], np.uint64)
-#: Bytes kept of a token in the sets that are compared, and in the prefixes of orders 2 and 3.
-WIDE, NARROW = 5, 3
+#: At most this many tokens count as hot; their rows are dealt to SALTS tasks.
+HOT, SALTS = 10_000, 32
+POSTING = "token long, cls long, zone byte"
+#: Bytes kept of a token in the prefixes of orders 2 and 3.
+NARROW = 3
 
 
 def tokens_of(text: str | None, size: int) -> np.ndarray:
@@ -64,14 +67,8 @@ def _high_bytes(x: np.ndarray, n: int) -> bytes:
     return x.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :n].tobytes()
 
 
-def _low_bytes(x: np.ndarray, n: int) -> bytes:
-    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n].tobytes()
-
-
-def _wide(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // WIDE, 8), np.uint8)
-    out[:, :WIDE] = np.frombuffer(data, np.uint8).reshape(-1, WIDE)
-    return out.view("<u8").ravel()
+def _set(data) -> np.ndarray:
+    return np.frombuffer(data, "<u8")
 
 
 def _prefixes(tokens: np.ndarray, percent: int) -> list[bytes]:
@@ -79,31 +76,32 @@ def _prefixes(tokens: np.ndarray, percent: int) -> list[bytes]:
     return [_high_bytes(np.sort(mix(tokens ^ seed))[:p] << np.uint64(3), NARROW) for seed in SEEDS]
 
 
-def _classes(size: int, percent: int):
+def _sets(size: int, percent: int):
+    """One pass over the texts: class and sizes of each, and its packed set unless this task has written it before."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            n, counted, rest, key = [], [], [], []
+            n, counted, rest, keys, packed = [], [], [], [], []
             for text in batch.column(1):
                 tokens = tokens_of(text.as_py(), size)
                 low, high = split_tokens(tokens, percent)
-                n.append(len(tokens)), counted.append(len(low)), rest.append(len(high)), key.append(class_of(tokens) if len(tokens) else None)
-            yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(counted, pa.int32()), pa.array(rest, pa.int32()), pa.array(key, pa.int64()), batch.column(2)], ["doc_id", "n_shingles", "counted", "rest", "cls", "row_key"])
+                key = class_of(tokens) if len(tokens) else None
+                n.append(len(tokens)), counted.append(len(low)), rest.append(len(high)), keys.append(key)
+                packed.append(tokens.astype("<u8").tobytes() if len(tokens) and key not in seen else None)
+                if len(seen) < 1_000_000:  # only spares work: a set that comes twice changes nothing
+                    seen.add(key)
+            yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(counted, pa.int32()), pa.array(rest, pa.int32()), pa.array(keys, pa.int64()), batch.column(2), pa.array(packed, pa.binary())], ["doc_id", "n_shingles", "counted", "rest", "cls", "row_key", "tokens"])
 
     return run
 
 
-def _postings(size: int, percent: int):
+def _postings(percent: int):
+    """(token, cls, zone): the indexed tokens of packed sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         for batch in batches:
             tokens_out, class_out, zones = [], [], []
-            for text in batch.column(0):
-                tokens = tokens_of(text.as_py(), size)
-                if not len(tokens) or (key := class_of(tokens)) in seen:
-                    continue
-                if len(seen) < 1_000_000:  # only spares work: a copy that comes through changes nothing but counts
-                    seen.add(key)
-                for zone, part in enumerate(split_tokens(tokens, percent)):
+            for key, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                for zone, part in enumerate(split_tokens(_set(data.as_buffer()), percent)):
                     tokens_out.append(part), class_out.append(np.full(len(part), key, np.int64)), zones.append(np.full(len(part), zone, np.int8))
             if tokens_out:
                 yield pa.record_batch([pa.array(np.concatenate(tokens_out).view(np.int64)), pa.array(np.concatenate(class_out)), pa.array(np.concatenate(zones))], ["token", "cls", "zone"])
@@ -111,21 +109,12 @@ def _postings(size: int, percent: int):
     return run
 
 
-def _packed(size: int, percent: int):
+def _with_prefixes(percent: int):
+    """Adds the prefixes under orders 2 and 3 to packed sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         for batch in batches:
-            keys, n, second, third, sets = [], [], [], [], []
-            for wanted, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if wanted in seen:
-                    continue
-                tokens = tokens_of(text.as_py(), size)
-                if len(tokens) and class_of(tokens) == wanted:  # rows of one key may hold another text
-                    if len(seen) < 1_000_000:  # only spares work: equal rows without id have one key
-                        seen.add(wanted)
-                    a, b = _prefixes(tokens, percent)
-                    keys.append(wanted), n.append(len(tokens)), second.append(a), third.append(b), sets.append(_low_bytes(tokens, WIDE))
-            yield pa.record_batch([pa.array(keys, pa.int64()), pa.array(n, pa.int64()), *(pa.array(x, pa.binary()) for x in (second, third, sets))], ["cls", "n", "second", "third", "tokens"])
+            both = [_prefixes(_set(data.as_buffer()), percent) for data in batch.column(2)]
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array([a for a, _ in both], pa.binary()), pa.array([b for _, b in both], pa.binary()), batch.column(2)], ["cls", "n", "second", "third", "tokens"])
 
     return run
 
@@ -133,7 +122,7 @@ def _packed(size: int, percent: int):
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(token, cls, zone): every token of packed sets."""
     for batch in batches:
-        sets = [_wide(x.as_buffer()) for x in batch.column(1)]
+        sets = [_set(x.as_buffer()) for x in batch.column(1)]
         if sets:
             size = np.array([len(x) for x in sets])
             tokens = np.concatenate(sets).view(np.int64)
@@ -157,7 +146,7 @@ def _compare(percent: int):
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = _wide(x.as_buffer()), _wide(y.as_buffer())
+                x, y = _set(x.as_buffer()), _set(y.as_buffer())
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -165,10 +154,30 @@ def _compare(percent: int):
     return run
 
 
+def _hot_tokens(counts: DataFrame) -> DataFrame:
+    """Tokens with more than 64 postings and more than a 10,000th of all that are counted: at most 10,000 rows, however
+    many postings there are, so the table is safe to broadcast. counts has token and df."""
+    total = counts.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n")).first()["n"]
+    return materialize(counts.where((F.col("df") > 64) & (F.col("df") * HOT > total)).select("token", F.lit(True).alias("hot")).coalesce(1), "shingle_hot")
+
+
+def _dealt(df: DataFrame, hot: DataFrame, by: F.Column | None) -> DataFrame:
+    """df with a salt: the rows of a hot token go to SALTS parts by a column, or to all of them (by is None)."""
+    marked = df.join(F.broadcast(hot), "token", "left")
+    if by is None:
+        return marked.withColumn("salt", F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop("hot")
+    return marked.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")).otherwise(0)).drop("hot")
+
+
+def _by_token(many: DataFrame, one: DataFrame, hot: DataFrame, how: str = "inner") -> DataFrame:
+    """many joined by token with a table of one row for each token; rows of a hot token are dealt to several tasks."""
+    return _dealt(many, hot, F.col("cls")).join(_dealt(one, hot, None), ["token", "salt"], how).drop("salt")
+
+
 def _prefix_index(postings: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """(token, cls, n, pos, shared): the tokens of each prefix under order 1 that two postings have; pos from 1."""
-    counts = postings.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    shared = postings.join(counts, "token").groupBy("cls").agg(F.sort_array(F.collect_set(F.struct("zone", "df", "token"))).alias("tokens"))
+    counts = materialize(postings.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "shingle_counts")
+    shared = _by_token(postings, counts, _hot_tokens(counts)).groupBy("cls").agg(F.sort_array(F.collect_set(F.struct("zone", "df", "token"))).alias("tokens"))
     first = F.size(F.filter("tokens", lambda x: x["zone"] == 0))
     # tokens that only one posting has come before the others of their part of the order
     pos = F.col("i") + 1 + F.col("counted") - F.col("first") + F.when(F.col("t.zone") == 1, F.col("rest") - (F.col("all") - F.col("first"))).otherwise(0)
@@ -180,15 +189,19 @@ def _prefix_index(postings: DataFrame, classes: DataFrame, percent: int) -> Data
     )
 
 
-def _may_link(percent: int, x: str, y: str) -> F.Column:
-    """Length and position filters for a pair of index rows: the first common token leaves enough room behind it."""
-    c = lambda side, name: F.col(f"{side}.{name}")
-    room = 1 + F.least(c(x, "n") - c(x, "pos"), c(y, "n") - c(y, "pos"))
-    return (100 * F.least(c(x, "n"), c(y, "n")) >= percent * F.greatest(c(x, "n"), c(y, "n"))) & ((100 + percent) * room >= percent * (c(x, "n") + c(y, "n")))
+def _may_link(percent: int) -> F.Column:
+    """Length and position filters for an index row and another (o_): the first common token leaves enough room behind it."""
+    n, pos, m, at = (F.col(c) for c in ("n", "pos", "o_n", "o_pos"))
+    room = 1 + F.least(n - pos, m - at)
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * room >= percent * (n + m))
+
 
+def _other(df: DataFrame, *more: str) -> DataFrame:
+    return df.select("token", *more, *(F.col(c).alias(f"o_{c}") for c in ("cls", "n", "pos", "component")))
 
-def _ordered_pairs(df: DataFrame, x: str, y: str) -> DataFrame:
-    return df.select(F.least(f"{x}.cls", f"{y}.cls").alias("a"), F.greatest(f"{x}.cls", f"{y}.cls").alias("b")).distinct()
+
+def _ordered_pairs(df: DataFrame) -> DataFrame:
+    return df.select(F.least("cls", "o_cls").alias("a"), F.greatest("cls", "o_cls").alias("b")).distinct()
 
 
 def _placed(index: DataFrame, labels: DataFrame) -> DataFrame:
@@ -197,16 +210,29 @@ def _placed(index: DataFrame, labels: DataFrame) -> DataFrame:
     return index.drop("component").join(named, "cls", "left").withColumn("component", F.coalesce("_c", "cls")).drop("_c")
 
 
-def _open_lists(index: DataFrame) -> DataFrame:
+def _open_lists(index: DataFrame, hot: DataFrame) -> DataFrame:
     """The posting lists that hold more than one component."""
-    return index.join(index.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token"), "token", "left_semi")
+    mixed = index.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
+    return _by_token(index, mixed, hot, "left_semi")
 
 
-def _star_pairs(index: DataFrame, percent: int) -> DataFrame:
+def _star_pairs(index: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
     """Pairs of each posting list's leader, its member with most shared tokens, and the members of other components."""
     lists = index.groupBy("token").agg(F.max_by(F.struct("cls", "n", "pos", "component"), F.struct("shared", "cls")).alias("l"), F.min("component").alias("low"), F.max("component").alias("high"))
-    x, y = index.alias("x"), lists.where("low < high").select("token", "l.*").alias("y")
-    return _ordered_pairs(x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component")) & _may_link(percent, "x", "y")), "x", "y")
+    met = _by_token(index, _other(lists.where("low < high").select("token", "l.*")), hot)
+    return _ordered_pairs(met.where((F.col("component") != F.col("o_component")) & _may_link(percent)))
+
+
+def _list_pairs(index: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
+    """Pairs within each posting list of members in different components.
+
+    The join is by token and a class of length: lengths that differ by no more than the threshold allows lie in the same
+    or in neighbouring classes. One side of a hot list is dealt to SALTS tasks, the other goes to all of them."""
+    step = float(np.log(100 / percent)) if percent < 100 else 1e-9
+    rows = index.withColumn("length", F.floor(F.log(F.col("n").cast("double")) / F.lit(step)).cast("long"))
+    near = rows.withColumn("length", F.explode(F.array(*(F.col("length") + k for k in (-1, 0, 1)))))
+    x, y = _dealt(rows, hot, F.col("cls")), _other(_dealt(near, hot, None), "length", "salt")
+    return _ordered_pairs(x.join(y, ["token", "salt", "length"]).where((F.col("component") < F.col("o_component")) & _may_link(percent)))
 
 
 def _verified(pairs: DataFrame, packed: DataFrame, percent: int) -> DataFrame:
@@ -234,7 +260,7 @@ def ngram_jaccard_join(docs: DataFrame, size: int = 3, percent: int = 90, id_col
     sequence as one shingle. Null and empty texts have an empty set and are linked with nothing; a row whose doc_id is
     null is linked like any other but names no component: component_id is null if no linked row has an id. Rows that
     repeat an id are rows of their own. Equal rows are one class. Other columns are ignored. An empty table gives none.
-    Shingles, and sets for equality, are compared by 64-bit hashes, sets for similarity by 40 bits of them.
+    Shingles and sets are compared by 64-bit hashes.
     """
     documents, links = _linked(docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")), size, percent)
     return documents.select("doc_id", "n_shingles", "component_id", "cls"), links
@@ -243,32 +269,33 @@ def ngram_jaccard_join(docs: DataFrame, size: int = 3, percent: int = 90, id_col
 def _linked(base: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """ngram_jaccard_join() of (doc_id, text); its documents have each row's row_key and component, a class, too."""
     base = base.withColumn("row_key", _row_key(F.col("doc_id"), F.col("text")))
-    rows = materialize(base.mapInArrow(_classes(size, percent), "doc_id long, n_shingles long, counted int, rest int, cls long, row_key long"), "shingle_classes")
-    classes = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.first("n_shingles").alias("n"), F.first("counted").alias("counted"), F.first("rest").alias("rest"), F.min("doc_id").alias("doc_id"), F.min("row_key").alias("row_key"))
-    postings = base.select("text").mapInArrow(_postings(size, percent), "token long, cls long, zone byte")
-    index = materialize(_prefix_index(postings, classes.drop("doc_id", "row_key"), percent), "shingle_index")
+    rows = materialize(base.mapInArrow(_sets(size, percent), "doc_id long, n_shingles long, counted int, rest int, cls long, row_key long, tokens binary"), "shingle_sets")
+    classes = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.first("n_shingles").alias("n"), F.first("counted").alias("counted"), F.first("rest").alias("rest"), F.min("doc_id").alias("doc_id"))
+    sets = rows.where("tokens IS NOT NULL").select("cls", F.col("n_shingles").alias("n"), "tokens")
+    index = materialize(_prefix_index(sets.select("cls", "tokens").mapInArrow(_postings(percent), POSTING), classes.drop("doc_id"), percent), "shingle_index")
+    hot = _hot_tokens(index.groupBy("token").agg(F.count("*").alias("df")))
 
     # first pass: each posting list against its leader
     index = index.withColumn("component", F.col("cls"))
-    near = materialize(_star_pairs(index, percent), "shingle_stars")
-    wanted = _open_lists(index).select("cls").distinct().join(classes.select("cls", "row_key"), "cls")
-    packed = materialize(base.join(wanted, "row_key").select("cls", "text").mapInArrow(_packed(size, percent), "cls long, n long, second binary, third binary, tokens binary").dropDuplicates(["cls"]), "shingle_sets")
+    near = materialize(_star_pairs(index, hot, percent), "shingle_stars")
+    wanted = _open_lists(index, hot).select("cls").distinct()
+    packed = sets.join(wanted, "cls", "left_semi").dropDuplicates(["cls"]).mapInArrow(_with_prefixes(percent), "cls long, n long, second binary, third binary, tokens binary")
+    packed = materialize(packed, "shingle_packed")
     links = materialize(_verified(near, packed, percent), "shingle_links")
 
     # second pass: sets of lists that still meet other components, by frequencies of all their tokens
     labels = connected_components(links)
-    left = materialize(_open_lists(_placed(index, labels)).select("cls").distinct(), "shingle_open")
-    sets = packed.join(left, "cls").select("cls", "n", "tokens")
-    fine = _prefix_index(sets.select("cls", "tokens").mapInArrow(_unpacked, "token long, cls long, zone byte"), sets.select("cls", "n", F.col("n").alias("counted"), F.lit(0).alias("rest")), percent)
+    left = materialize(_open_lists(_placed(index, labels), hot).select("cls").distinct(), "shingle_open")
+    again = packed.join(left, "cls").select("cls", "n", "tokens")
+    fine = _prefix_index(again.select("cls", "tokens").mapInArrow(_unpacked, POSTING), again.select("cls", "n", F.col("n").alias("counted"), F.lit(0).alias("rest")), percent)
     fine = materialize(fine, "shingle_index")
-    links2 = materialize(_verified(_star_pairs(_placed(fine, labels), percent), packed, percent), "shingle_links")
+    hot = _hot_tokens(fine.groupBy("token").agg(F.count("*").alias("df")))
+    links2 = materialize(_verified(_star_pairs(_placed(fine, labels), hot, percent), packed, percent), "shingle_links")
     links = links.unionByName(links2)
 
     # third pass: all pairs of a list that are in different components by now
     labels = connected_components(links)
-    x, y = (_open_lists(_placed(fine, labels)).alias(name) for name in "xy")
-    rest = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") < F.col("y.component")) & _may_link(percent, "x", "y"))
-    links3 = materialize(_verified(_ordered_pairs(rest, "x", "y"), packed, percent), "shingle_links")
+    links3 = materialize(_verified(_list_pairs(_open_lists(_placed(fine, labels), hot), hot, percent), packed, percent), "shingle_links")
     links = links.unionByName(links3)
     final = (labels if links3.isEmpty() else connected_components(links)).withColumnRenamed("node", "cls")
     for used in (index, fine, packed):
@@ -282,15 +309,14 @@ def _linked(base: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFr
 
 
 def keep_one_of_each(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
-    """docs with one row of each group of linked texts: that of the smallest doc_id. Empty texts all stay.
-
-    A group without any id keeps one of its texts. Of equal rows one stays, without id too. Rows that share an id with the
-    kept row of a group but hold another text stay.
+    """docs with one row of each group of linked texts: that of the smallest doc_id, ids before null ids, and of several
+    rows with that id one. Empty texts are no group: they all stay, but of equal rows one. All columns are kept; of rows
+    with the same id and text any one stays, with its other columns. An empty table stays empty.
     """
     named, _ = _linked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), size, percent)
-    by_id = named.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept"), F.lit(None).cast("long").alias("_key")).distinct()
-    no_id = named.where("doc_id IS NULL AND component_id IS NULL").groupBy("component", F.when(F.col("cls").isNull(), F.col("row_key")).alias("empty"))
-    kept = by_id.unionByName(no_id.agg(F.min("row_key").alias("_key")).select(F.lit(None).cast("long").alias("_kept"), "_key"))
-    key = F.when(docs["doc_id"].isNull(), _row_key(docs["doc_id"], docs["text"]))
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]) & key.eqNullSafe(kept["_key"]), "left_semi")
-    return rows.dropDuplicates(["doc_id", "text"])
+    group = F.when(F.col("cls").isNull(), F.struct(F.lit(0).alias("kind"), F.col("row_key").alias("key"))).otherwise(F.struct(F.lit(1).alias("kind"), F.col("component").alias("key")))
+    first = F.min_by("row_key", F.struct(F.col("doc_id").isNull(), "doc_id", "row_key"))
+    kept = named.groupBy(group.alias("group")).agg(first.alias("_key")).select("_key").distinct()
+    # the columns of a row travel in one struct, so that their names cannot clash with the key's
+    rows = docs.select(F.struct("*").alias("_row"), _row_key(docs["doc_id"], docs["text"]).alias("_key"))
+    return rows.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select("_row.*")

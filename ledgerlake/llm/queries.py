@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,17 +19,31 @@ from ledgerlake.llm.sentencepieces import encode_digests
 from ledgerlake.llm.toxicity import toxicity_scores
 from ledgerlake.llm.warc import fixity_audit, warc_index, warc_records
 from ledgerlake.llm.wordpiece import token_counts
+from ledgerlake.storage import scratch
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def written(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The query's result as a table; the tables that its operator wrote on the way are deleted."""
+
+    @wraps(query)
+    def run(*args, **options) -> DataFrame:
+        with scratch() as keep:
+            return keep(query(*args, **options), query.__name__)
+
+    return run
+
+
+@written
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, _ = ngram_jaccard_join(table(spark, sf_dir, "documents"), size=3, percent=90)
     return documents.select("doc_id", "n_shingles", "component_id")
 
 
+@written
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = "<|im_end|><|im_start|>assistant ok"
     extra = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
@@ -44,6 +59,7 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=3, out=1)
 
 
+@written
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"))
 
@@ -52,6 +68,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=5, out=0)
 
 
+@written
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), every=100, k=10)
 
@@ -64,6 +81,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str, model_path: str | None =
     return token_counts(table(spark, sf_dir, "documents"), model_path or piece_model())
 
 
+@written
 def op10_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audits a damaged copy of all pages: every page whose id is 13 more than a multiple of 97 has a changed byte, every
     7 more than one of 101 lacks its second half, and every 5 more than one of 103 is gone; the first of these counts."""
