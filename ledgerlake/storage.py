@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 _LOCAL: dict[str, str] = {}
+_SCOPE: ContextVar[list[DataFrame] | None] = ContextVar("scope", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,6 +30,8 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])).parquet(path)
     out._ledgerlake_path = path
+    if (scope := _SCOPE.get()) is not None:
+        scope.append(out)
     return out
 
 
@@ -36,3 +42,29 @@ def discard(df: DataFrame) -> None:
         jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
         target = jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(conf).delete(target, True)
+
+
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A scope whose tables are deleted at its end. What it gives writes a result as a table that outlives the scope:
+
+        with scratch() as keep:
+            return keep(some_operator(df))
+    """
+    tables: list[DataFrame] = []
+    kept: list[DataFrame] = []
+    token = _SCOPE.set(tables)
+
+    def keep(df: DataFrame, name: str = "result") -> DataFrame:
+        kept.append(materialize(df, name))
+        return kept[-1]
+
+    try:
+        yield keep
+    finally:
+        _SCOPE.reset(token)
+        for df in tables:
+            if not any(df is k for k in kept):
+                discard(df)
+        if (outer := _SCOPE.get()) is not None:
+            outer.extend(kept)
