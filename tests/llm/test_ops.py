@@ -74,6 +74,28 @@ def test_jaccard_keeps_one(spark):
     assert ngram_join.keep_one_of_each(docs_of(spark, []), 3, 90).count() == 0
 
 
+def test_jaccard_keeps_one_of_repeated_ids(spark):
+    texts = [(1, "a b c d e"), (3, "quite another text here"), (3, "a b c d e"), (3, "quite another text here"), (None, "a b c d e")]
+    kept = ngram_join.keep_one_of_each(docs_of(spark, texts), 3, 90).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(1, "a b c d e"), (3, "quite another text here")]
+
+
+@pytest.mark.parametrize("hot", [1, 10**9])
+def test_jaccard_of_hot_lists(spark, monkeypatch, hot):
+    """150 texts that share most of a template: every token is in very long lists, dealt to tasks or not."""
+    monkeypatch.setattr(ngram_join, "HOT", hot)
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for i in range(150):
+        words = base[:]
+        for at in rng.sample(range(60), rng.choice([0, 1, 4, 9])):
+            words[at] = f"x{rng.randrange(30)}"
+        texts.append((i, " ".join(words + [f"y{rng.randrange(4)}"] * rng.randrange(6))))
+    got, _ = ngram_join.ngram_jaccard_join(docs_of(spark, texts), 3, 80)
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == brute_components(texts, 3, 80)
+
+
 def test_jaccard_without_id(spark):
     own = [f"w{i}" for i in range(100)]
     changed = lambda *at: " ".join(f"c{i}" if i in at else w for i, w in enumerate(own))
@@ -371,15 +393,50 @@ def test_neighbours(spark):
         assert np.allclose(g.sort_values("rank")["score"], d[g.sort_values("rank")["vec_id"]], rtol=1e-12)
         found, total = found + len(set(order) & set(g["vec_id"])), total + 10
     assert got["query_id"].nunique() == 60 and found / total >= 0.95
+    # equal vectors, more than k + 1 of them, at the smallest ids, on rows that repeat, and with a vector of another length
+    many = [(100 + i, [1.0, 2.0]) for i in range(40)] + [(200, [1.0, 2.0])] * 3 + [(0, [1.0, 2.5]), (7, [1.0, 2.5, 0.0]), (8, [0.0, -0.0])]
+    tied = ann.nearest_neighbours(spark.createDataFrame(many, "vec_id long, embedding array<float>"), every=100).where("query_id = 200").orderBy("rank").collect()
+    assert [(r["vec_id"], r["score"]) for r in tied] == [(100 + i, 0.0) for i in range(10)]
     few = ann.nearest_neighbours(spark.createDataFrame([(0, [1.0, 0.0]), (100, [0.0, 1.0]), (7, [1.0, 1.0])], "vec_id long, embedding array<float>"), every=100)
     assert [(r["query_id"], r["rank"], r["vec_id"]) for r in few.orderBy("query_id", "rank").collect()] == [(0, 1, 7), (0, 2, 100), (100, 1, 7), (100, 2, 0)]
     assert ann.nearest_neighbours(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
-def test_recall_on_embeddings(spark):
-    e = queries.table(spark, SF, "embeddings").toPandas()
+def test_packed_inner_products():
+    rng = np.random.default_rng(4)
+    turn = ann.rotation(24)
+    assert np.allclose(turn @ turn.T, np.eye(24))
+    x = rng.normal(size=(300, 24))
+    mean, q = x.mean(0), rng.normal(size=24)
+    _, codes, length, correction = ann.encode(x, mean[None, :], turn)
+    words = codes.copy().view(np.uint64).reshape(300, -1)
+    ones = np.bitwise_count(words).sum(1, dtype=np.int64)
+    turned = (q - mean) / np.linalg.norm(q - mean) @ turn
+    got, cut = ann.inner_products(words, ones, turned)
+    signs = np.where((x - mean) @ turn > 0, 1, -1) / np.sqrt(turn.shape[1])
+    assert np.abs(got - signs @ turned).max() <= cut * np.sqrt(turn.shape[1]) and np.allclose(correction, (signs * ((x - mean) / length[:, None] @ turn)).sum(1))
+    estimate, low, high = ann.bounds(words, ones, length, correction, q - mean, turn)
+    true = ((x - q) ** 2).sum(1)
+    assert (low <= estimate).all() and (estimate <= high).all() and np.corrcoef(estimate, true)[0, 1] > 0.95
+    assert np.mean((low <= true) & (true <= high)) >= 0.9
+
+
+def test_visits_fall_with_more_clusters():
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(400, 16)) * 4
+    shares = []
+    for rows in (1000, 4000, 16_000):
+        x = centres[rng.integers(0, 400, rows)] + rng.normal(size=(rows, 16))
+        means = ann.cluster_means(x, int(np.sqrt(rows)), rounds=6)
+        shares.append(ann.visits_needed(x, means, 10, 0.97) / len(means))
+    assert shares[0] > shares[1] > shares[2] and shares[2] < 0.15
+
+
+@pytest.mark.parametrize("folder", [SF, "/root/testdata/sf0.1"])
+def test_recall_on_embeddings(spark, folder):
+    e = queries.table(spark, folder, "embeddings").toPandas()
     x, ids = np.array(e["embedding"].tolist(), np.float64), e["vec_id"].to_numpy()
-    got = queries.op7_nearest_neighbours(spark, SF).toPandas()
+    got = queries.op7_nearest_neighbours(spark, folder).toPandas()
     hit = []
     for q, g in got.groupby("query_id"):
         d = np.sqrt(((x - x[ids == q][0]) ** 2).sum(1))

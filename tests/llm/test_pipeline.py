@@ -17,7 +17,7 @@ def test_pipeline(spark):
     docs, labels = queries.table(spark, SF, "documents"), queries.table(spark, SF, "labels")
     good = {r["doc_id"] for r in quality.quality_scores(docs, labels).where("predicted = 1").collect()}
     kept = sorted((r["doc_id"], r["text"]) for r in docs.collect() if r["doc_id"] in good)
-    first = {d for d, _, c in brute_components(kept, 3, 90) if d == c}
+    first = {d for d, _, c in brute_components(kept, 5, 80) if d == c}
     kept = [x for x in kept if x[0] in first]
     items = [tuple(r) for r in queries.table(spark, SF, "benchmark").select("item_id", "text").collect()]
     dirty = {r[0] for r in brute_contamination(kept, items, 10) if r[5]}
