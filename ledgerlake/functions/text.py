@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Patterns and words that names and addresses are normalised by.
@@ -44,6 +44,12 @@ def family_name(c: Column | str, suffixes: list[str] | None = None) -> Column:
     return compact(s)
 
 
+def canonical_name(df: DataFrame, column: str, aliases: DataFrame, name: str) -> DataFrame:
+    """df with `name`: what the aliases (alias, name; one row for each) say for the trimmed text of a column, or that text."""
+    known = aliases.select(F.col("alias").alias("_alias"), F.col("name").alias("_name"))
+    return df.join(known, text(column) == F.col("_alias"), "left").withColumn(name, F.coalesce("_name", text(column))).drop("_alias", "_name")
+
+
 def _or_empty(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 

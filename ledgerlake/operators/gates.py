@@ -49,10 +49,13 @@ def diagnosis() -> Column:
     ], "NO_DATA")
 
 
-def health_funnel(sources: DataFrame, counts: dict[str, DataFrame], on: str) -> DataFrame:
-    """sources with one count for each step (0 where a step has no row) and the diagnosis."""
-    joined = reduce(lambda a, kv: a.join(kv[1].withColumnRenamed("count", kv[0]), on, "left"), counts.items(), sources)
-    return joined.select(on, *(F.coalesce(k, F.lit(0)).alias(k) for k in counts)).withColumn("diagnosis", diagnosis())
+def health_funnel(sources: DataFrame, counts: list[tuple[DataFrame, dict[str, Column]]], on: str) -> DataFrame:
+    """sources with one count for each step (0 where a step has no row) and the diagnosis.
+
+    counts: tables with the conditions of the steps counted in them; each table is read and grouped once."""
+    one = lambda df, steps: df.groupBy(on).agg(*(F.count_if(c).alias(k) for k, c in steps.items()))
+    joined = reduce(lambda a, t: a.join(one(*t), on, "left"), counts, sources)
+    return joined.select(on, *(F.coalesce(k, F.lit(0)).alias(k) for _, steps in counts for k in steps)).withColumn("diagnosis", diagnosis())
 
 
 def health_rollup(status: DataFrame, name: str = "status") -> DataFrame:

@@ -31,15 +31,19 @@ def with_fallback(df: DataFrame, lookup: DataFrame, levels: list[list[str]], val
 
 
 def duplicates_elsewhere(df: DataFrame, key: list[str], source: str, flag: str, fields: list[str]) -> DataFrame:
-    """Flagged rows with exactly one unflagged row of the same key in another source; that row's fields come as other_<f>."""
-    kept = df.where(~F.col(flag))
-    other = kept.select(*key, *(F.col(f).alias(f"other_{f}") for f in dict.fromkeys([source, *fields])))
-    # counts by key and source come first, so that a hot key never meets itself row by row
-    counts = kept.groupBy(*key, source).agg(F.count("*").alias("_c"))
-    sums = counts.groupBy(*key).agg(F.sum("_c").alias("_all"))
-    asked = df.where(F.col(flag)).join(sums, key).join(counts, [*key, source], "left").where(F.col("_all") - F.coalesce("_c", F.lit(0)) == 1).drop("_all", "_c")
-    few = other.join(asked.select(*key, F.col(source).alias("_s")).distinct(), key).where(F.col(f"other_{source}") != F.col("_s"))
-    return asked.join(few.withColumnRenamed("_s", source), [*key, source])
+    """Flagged rows with exactly one unflagged row of the same key in another source; that row's fields come as other_<f>.
+
+    The unflagged rows are counted by key and source, and of each key only the first and the last source are kept: with three
+    or more sources there are always two rows elsewhere. So the join meets one row for each key."""
+    other = F.struct(*(F.col(f) for f in dict.fromkeys([source, *fields])))
+    by_source = df.where(~F.col(flag)).groupBy(*key, source).agg(F.count("*").alias("_c"), F.min(other).alias("_f"))
+    ends = F.struct(source, "_c", "_f")
+    by_key = by_source.groupBy(*key).agg(F.count("*").alias("_n"), F.min(ends).alias("_lo"), F.max(ends).alias("_hi")).where("_n <= 2")
+    asked = df.where(F.col(flag)).join(by_key, key)
+    own, lo, hi = F.col(source), F.col("_lo"), F.col("_hi")
+    single = F.when((F.col("_n") == 1) & (lo[source] != own), lo).when((F.col("_n") == 2) & (lo[source] == own), hi).when((F.col("_n") == 2) & (hi[source] == own), lo)
+    found = asked.withColumn("_o", single).where(F.col("_o._c") == 1)
+    return found.select(*df.columns, *(F.col("_o._f")[f].alias(f"other_{f}") for f in dict.fromkeys([source, *fields])))
 
 
 def longest_prefix(df: DataFrame, routes: DataFrame, text: str, prefix: str = "prefix") -> DataFrame:

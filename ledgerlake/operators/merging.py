@@ -67,6 +67,11 @@ def replace_partitions(old: DataFrame, new: DataFrame, part: str, floor: float)
 
 def moved_keys(old: DataFrame, new: DataFrame, entity: str, keys: str) -> DataFrame:
     """(key, old entity, new entity) of keys that lie in another entity than before; `keys` is an array column."""
-    a = old.select(F.col(entity).alias("old_entity"), F.explode(keys).alias("key"))
-    b = new.select(F.col(entity).alias("new_entity"), F.explode(keys).alias("key"))
-    return a.join(b, "key").where("old_entity <> new_entity").distinct()
+    a, b = (df.select(entity, F.explode(keys).alias("key")) for df in (old, new))
+    return moved_rows(a, b, entity, "key").distinct()
+
+
+def moved_rows(old: DataFrame, new: DataFrame, entity: str, key: str) -> DataFrame:
+    """moved_keys() of tables with one row for each key."""
+    a, b = old.select(F.col(key).alias("key"), F.col(entity).alias("old_entity")), new.select(F.col(key).alias("key"), F.col(entity).alias("new_entity"))
+    return a.join(b, "key").where("old_entity <> new_entity")

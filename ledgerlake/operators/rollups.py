@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -26,9 +26,10 @@ def tier_counts(tx: DataFrame, by: list[str], tier: str, tiers: list) -> DataFra
 def two_level(tx: DataFrame, by: list[str], part: str, k: int) -> DataFrame:
     """Per group its total and its k largest parts by visits, then spend, then name, as an array of structs."""
     parts = tx.groupBy(*by, part).agg(F.count("*").alias("visits"), F.sum("amount").alias("spend"))
-    listed = F.array_sort(F.collect_list(F.struct((-F.col("visits")).alias("_v"), (-F.col("spend")).alias("_s"), F.col(part).alias("part"))))
-    out = parts.groupBy(*by).agg(F.sum("visits").alias("visits"), F.sum("spend").alias("spend"), F.count("*").alias("parts"), F.slice(listed, 1, k).alias("_l"))
-    return out.withColumn("top", F.transform("_l", lambda s: F.struct(s["part"].alias("part"), (-s["_v"]).alias("visits"), (-s["_s"]).alias("spend")))).drop("_l")
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("visits"), F.desc("spend"), part))
+    cut = F.when(F.col("_k") <= k, F.struct("_k", F.col(part).alias("part"), "visits", "spend"))  # the aggregate collects k structs of a group, nulls not
+    out = parts.withColumn("_k", place).groupBy(*by).agg(F.sum("visits").alias("visits"), F.sum("spend").alias("spend"), F.count("*").alias("parts"), F.array_sort(F.collect_list(cut)).alias("_l"))
+    return out.withColumn("top", F.transform("_l", lambda s: F.struct(s["part"].alias("part"), s["visits"].alias("visits"), s["spend"].alias("spend")))).drop("_l")
 
 
 def merged_evidence(records: DataFrame, by: list[str]) -> DataFrame:

@@ -28,22 +28,24 @@ def coverage_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_values(transactions(spark, sf_dir), ["origin"], "institution", 7)
 
 
-@query("""WITH s AS (SELECT s_suppkey AS suppkey FROM supplier), d AS (SELECT p_partkey % 97 AS suppkey, count(*) AS c FROM part GROUP BY 1), l AS (SELECT l_suppkey AS suppkey, count(*) AS c FROM lineitem WHERE l_suppkey % 9 <> 0 GROUP BY 1),
+@query("""WITH s AS (SELECT s_suppkey AS suppkey FROM supplier), d AS (SELECT p_partkey % 97 AS suppkey, count(*) AS c FROM part GROUP BY 1), l AS (SELECT l_suppkey AS suppkey, count(*) AS c FROM lineitem WHERE l_suppkey % 9 <> 0 GROUP BY 1), i AS (SELECT l_suppkey AS suppkey, count(*) AS c FROM lineitem WHERE l_suppkey % 9 <> 0 AND year(l_shipdate) >= 1997 GROUP BY 1),
     p AS (SELECT l_suppkey AS suppkey, count(*) AS c FROM lineitem WHERE l_returnflag = 'R' AND l_suppkey % 9 NOT IN (0, 1) GROUP BY 1), k AS (SELECT l_suppkey AS suppkey, count(*) AS c FROM lineitem WHERE l_quantity > 49 AND l_suppkey % 9 NOT IN (0, 1, 2) GROUP BY 1),
     a AS (SELECT l_suppkey AS suppkey, count(*) AS c FROM lineitem WHERE l_quantity > 49 AND l_discount > 0.09 AND l_suppkey % 9 > 3 GROUP BY 1), b AS (SELECT l_suppkey AS suppkey, count(*) AS c FROM lineitem WHERE l_quantity > 49 AND l_tax > 0.07 AND l_suppkey % 9 > 4 GROUP BY 1),
-    f AS (SELECT suppkey, coalesce(d.c, 0) AS discovered, coalesce(l.c, 0) AS raw, coalesce(p.c, 0) AS leadership, coalesce(k.c, 0) AS candidates, coalesce(a.c, 0) AS publishable, coalesce(b.c, 0) AS published
-      FROM s LEFT JOIN d USING (suppkey) LEFT JOIN l USING (suppkey) LEFT JOIN p USING (suppkey) LEFT JOIN k USING (suppkey) LEFT JOIN a USING (suppkey) LEFT JOIN b USING (suppkey))
+    f AS (SELECT suppkey, coalesce(d.c, 0) AS discovered, coalesce(l.c, 0) AS raw, coalesce(i.c, 0) AS in_period, coalesce(p.c, 0) AS leadership, coalesce(k.c, 0) AS candidates, coalesce(a.c, 0) AS publishable, coalesce(b.c, 0) AS published
+      FROM s LEFT JOIN d USING (suppkey) LEFT JOIN l USING (suppkey) LEFT JOIN i USING (suppkey) LEFT JOIN p USING (suppkey) LEFT JOIN k USING (suppkey) LEFT JOIN a USING (suppkey) LEFT JOIN b USING (suppkey))
     SELECT *, CASE WHEN publishable > 0 AND published = 0 THEN 'PUBLISH_PIPELINE_REVIEW' WHEN leadership >= 10 AND candidates = 0 THEN 'CANDIDATE_BUILD_REVIEW' WHEN raw >= 100 AND leadership = 0 THEN 'ROLE_OR_SOURCE_SCOPE_REVIEW'
       WHEN raw = 0 AND discovered > 0 THEN 'INGESTION_REVIEW' WHEN raw = 0 THEN 'DISCOVERY_REVIEW' WHEN candidates = 0 THEN 'NO_CANDIDATES' WHEN published = 0 THEN 'BELOW_PUBLICATION_THRESHOLDS' ELSE 'PUBLISHED' END AS diagnosis FROM f""", name="health_funnel")
 def supplier_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seven counts of each supplier, from discovered to published, and what they say."""
-    n = lambda df: df.groupBy("suppkey").count()
-    l = table(spark, sf_dir, "lineitem").withColumn("suppkey", F.col("l_suppkey")).withColumn("k", F.col("l_suppkey") % 9)
+    c, k = F.col, F.col("l_suppkey") % 9
+    large = c("l_quantity") > 49
     steps = {
-        "discovered": n(table(spark, sf_dir, "part").select((F.col("p_partkey") % 97).alias("suppkey"))), "raw": n(l.where("k <> 0")), "leadership": n(l.where("l_returnflag = 'R' AND k NOT IN (0, 1)")),
-        "candidates": n(l.where("l_quantity > 49 AND k NOT IN (0, 1, 2)")), "publishable": n(l.where("l_quantity > 49 AND l_discount > 0.09 AND k > 3")), "published": n(l.where("l_quantity > 49 AND l_tax > 0.07 AND k > 4")),
+        "raw": k != 0, "in_period": (k != 0) & (F.year("l_shipdate") >= 1997), "leadership": (c("l_returnflag") == "R") & ~k.isin(0, 1), "candidates": large & ~k.isin(0, 1, 2),
+        "publishable": large & (c("l_discount") > 0.09) & (k > 3), "published": large & (c("l_tax") > 0.07) & (k > 4),
     }
-    return health_funnel(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("suppkey")), steps, "suppkey")
+    parts = table(spark, sf_dir, "part").select((c("p_partkey") % 97).alias("suppkey"))
+    lines = table(spark, sf_dir, "lineitem").withColumn("suppkey", c("l_suppkey"))
+    return health_funnel(table(spark, sf_dir, "supplier").select(c("s_suppkey").alias("suppkey")), [(parts, {"discovered": F.lit(True)}), (lines, steps)], "suppkey")
 
 
 @query("""WITH s AS (SELECT CASE o_orderstatus WHEN 'F' THEN 'UPDATED' WHEN 'O' THEN 'NO_CHANGE' ELSE 'STALE_OK:QUALITY' END AS status FROM orders)

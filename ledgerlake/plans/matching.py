@@ -11,7 +11,7 @@ from ledgerlake.operators.components import connected_components
 from ledgerlake.operators.entities import entity_id, resolve_entities
 from ledgerlake.operators.filters import pass_thresholds
 from ledgerlake.operators.joins import close_pairs, duplicates_elsewhere, forward_fill, in_boxes, longest_prefix, unique_index, with_fallback
-from ledgerlake.operators.merging import carry_forward, first_wins, last_wins, merge_conflicts, merge_new, moved_keys, replace_partitions, snapshot_diff
+from ledgerlake.operators.merging import carry_forward, first_wins, last_wins, merge_conflicts, merge_new, moved_rows, replace_partitions, snapshot_diff
 from ledgerlake.operators.rollups import candidates
 from ledgerlake.functions.numbers import score, score_sql
 from ledgerlake.plans.registry import MEASURES, PLAUSIBLE, TX, query, table, transactions
@@ -152,8 +152,7 @@ def moved_record_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _entities(spark, sf_dir).select("id", "entity_key")
     p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), "p_size", F.concat_ws("||", "p_name", "p_brand").alias("other"))
     new = e.join(p, "id").withColumn("entity_key", F.when(F.col("p_size") > 25, F.col("other")).otherwise(F.col("entity_key")))
-    keyed = lambda df: df.groupBy("entity_key").agg(F.collect_list("id").alias("ids"))
-    return moved_keys(keyed(e), keyed(new), "entity_key", "ids")
+    return moved_rows(e, new, "entity_key", "id")
 
 
 @query("""SELECT * FROM (SELECT p_name AS name, p_brand AS origin, p_partkey AS id, 0 AS t FROM part WHERE p_size % 2 = 0 UNION ALL SELECT p_name, p_brand, p_partkey, 1 FROM part WHERE p_size % 3 = 0 UNION ALL SELECT p_name, p_brand, p_partkey, 2 FROM part)

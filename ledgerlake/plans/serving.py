@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlake.operators.ranking import ranked
 from ledgerlake.operators.serving import ORDERS, geojson_features, looked_up, searched, sort_order
 from ledgerlake.plans.registry import TX, query, table, transactions
+from ledgerlake.storage import materialize
 from ledgerlake.streaming.arrivals import within_lookback
 
 _P = """p AS (SELECT family || ' ' || branch AS name, address, min(orderkey) AS id, min(origin) AS origin, count(*) AS visits, sum(amount)::BIGINT AS spend, count(*) + sum(people)::BIGINT AS score, count(DISTINCT institution) AS institutions,
@@ -37,8 +38,7 @@ _SORTS = " UNION ALL ".join(f"SELECT * FROM (SELECT '{n}' AS mode, row_number()
 @query(f"WITH {TX}, {_P} {_SORTS}")
 def site_sort_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 50 merchants of every sort order."""
-    p = published(spark, sf_dir)
-    out = None
+    p, out = materialize(published(spark, sf_dir), "published"), None  # one aggregate for all orders
     for mode in ORDERS:
         order = [*sort_order(mode), F.col("address")]
         part = ranked(p.orderBy(*order).limit(50), order).select(F.lit(mode).alias("mode"), "rank", "name", "address")

@@ -74,11 +74,11 @@ def headcount_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("p_partkey", head_count(said).alias("people"))
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 6 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders WHERE o_orderdate >= DATE '2000-01-01'")
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 6 THEN NULL ELSE strftime(o_orderdate + INTERVAL 10 YEAR, '%Y-%m-%d') END AS day FROM orders")
 def date_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dates in six layouts and one that is none."""
-    o = table(spark, sf_dir, "orders").where("o_orderdate >= DATE '2000-01-01'")
-    d, k = F.col("o_orderdate"), F.col("o_orderkey") % 7
+    """Dates, ten years on, in six layouts and one that is none."""
+    o = table(spark, sf_dir, "orders")
+    d, k = F.add_months("o_orderdate", 120), F.col("o_orderkey") % 7
     shown = ladder([(k == i, F.date_format(d, f)) for i, f in enumerate(["yyyy-MM-dd", "yyyyMMdd", "yyyy-MMdd", "yyyyMM-dd", "yyyy.M.d.", "yy/MM/dd HH:mm"])], "2000-13-40")
     return o.select("o_orderkey", F.date_format(to_date(shown), "yyyy-MM-dd").alias("day"))
 
@@ -107,7 +107,7 @@ def to_date_column(name: str) -> F.Column:
 
 @query("""WITH p AS (SELECT o_orderkey, year(o_orderdate) AS y, month(o_orderdate) AS m, quarter(o_orderdate) AS q FROM orders)
     SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN m END AS m, CASE WHEN o_orderkey % 2 = 1 THEN q END AS q,
-    NOT (CASE WHEN o_orderkey % 2 = 0 THEN y * 100 + m ELSE y * 100 + q * 3 END < 199703 OR CASE WHEN o_orderkey % 2 = 0 THEN y * 100 + m ELSE y * 100 + q * 3 - 2 END > 199908) AS overlaps FROM p WHERE y >= 2000 OR o_orderkey >= 0""", name="period_overlap")
+    NOT (CASE WHEN o_orderkey % 2 = 0 THEN y * 100 + m ELSE y * 100 + q * 3 END < 199703 OR CASE WHEN o_orderkey % 2 = 0 THEN y * 100 + m ELSE y * 100 + q * 3 - 2 END > 199908) AS overlaps FROM p""", name="period_overlap")
 def overlapping_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Months and quarters against March 1997 to August 1999."""
     d, even = F.col("o_orderdate"), F.col("o_orderkey") % 2 == 0
@@ -115,12 +115,14 @@ def overlapping_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("o_orderkey", "m", "q", period_overlaps(F.col("y"), F.col("m"), F.col("q"), 199703, 199908).alias("overlaps"))
 
 
-@query("SELECT o_orderkey, year(o_orderdate) AS y, CASE WHEN o_orderkey % 2 = 0 THEN month(o_orderdate) END AS m, CASE WHEN o_orderkey % 2 = 1 THEN quarter(o_orderdate) END AS q FROM orders WHERE o_orderdate >= DATE '2000-01-01'", name="title_period")
+@query("SELECT o_orderkey, year(o_orderdate) + 10 AS y, CASE WHEN o_orderkey % 2 = 0 THEN month(o_orderdate) END AS m, CASE WHEN o_orderkey % 2 = 1 THEN quarter(o_orderdate) END AS q FROM orders", name="title_period")
 def title_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Periods from posting titles."""
-    d = F.col("o_orderdate")
-    title = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.year(d), F.lit("년 "), F.month(d), F.lit("월 업무추진비"))).otherwise(F.concat(F.year(d), F.lit("년 의회 내역("), F.quarter(d), F.lit("/4분기)")))
-    return table(spark, sf_dir, "orders").where("o_orderdate >= DATE '2000-01-01'").select("o_orderkey", title_period(title).alias("p")).select("o_orderkey", "p.*")
+    """Periods from posting titles, ten years on, in six layouts; one has a year of two digits."""
+    d, k = F.add_months("o_orderdate", 120), F.col("o_orderkey") % 8
+    y, m, q = F.year(d), F.month(d), F.quarter(d)
+    j = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
+    title = ladder([(k == 0, j(y, "년 ", m, "월 업무추진비")), (k.isin(2, 4), j(y, ".", m, "월 내역")), (k == 1, j(y, "년 의회 내역(", q, "/4분기)")), (k == 3, j(F.right(y.cast("string"), F.lit(2)), "년 ", q, "분기")), (k == 5, j(y, "년도 ", q, "분기 공개"))], F.when(k == 6, j("공개 ", y, "-", m, "월")).otherwise(j(y, " ", q, "/4분기")))
+    return table(spark, sf_dir, "orders").select("o_orderkey", title_period(title).alias("p")).select("o_orderkey", "p.*")
 
 
 @query("SELECT c_custkey, c_name AS name, CASE WHEN c_custkey % 2 = 0 THEN '서울 ' || c_nationkey ELSE '' END AS address FROM customer")
@@ -162,10 +164,10 @@ def page_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="([^"]+)"'), F.lit(1))).alias("href"))
 
 
-@query("SELECT doc_id, length(trim(regexp_replace(text, '[\\s\\x{0B}]+', ' ', 'g'))) AS n FROM documents WHERE regexp_full_match(text, '[ -~\\s]+')")
+@query("SELECT doc_id, length(trim(regexp_replace(coalesce(text, ''), '[\\s\\x{0B}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+', ' ', 'g'))) AS n FROM documents")
 def whitespace_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Length of cleaned ASCII texts, whose blanks were made wide ones before."""
-    d = table(spark, sf_dir, "documents").where(F.col("text").rlike(r"^[ -~\s]+$"))
+    """Length of cleaned texts, whose blanks were made wide ones before."""
+    d = table(spark, sf_dir, "documents")
     return d.select("doc_id", F.length(text(F.replace("text", F.lit(" "), F.lit("\u3000")))).cast("long").alias("n"))
 
 

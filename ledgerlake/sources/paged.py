@@ -10,7 +10,10 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
 class PagedJson(DataSource):
-    """Options: url with {page}, {first} and {last} in it, rows (total number of rows), size (of a page, 1000), field (rows)."""
+    """Options: url with {page}, {first} and {last} in it, rows (total number of rows), size (of a page, 1000), field (rows).
+
+    Without rows the number of pages is not known: `pages` (100) is then the most that are asked for, and pages are read one
+    after the other by one task until one is short, as such services are."""
 
     @classmethod
     def name(cls) -> str:
@@ -25,13 +28,23 @@ class PagedJson(DataSource):
 
 class PagedReader(DataSourceReader):
     def __init__(self, options: dict):
-        self.url, self.size, self.rows, self.field = options["url"], int(options.get("size", 1000)), int(options["rows"]), options.get("field", "rows")
+        self.url, self.size, self.rows, self.field = options["url"], int(options.get("size", 1000)), int(options.get("rows", 0)), options.get("field", "rows")
+        self.pages = int(options.get("pages", 100))
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(k) for k in range(-(-self.rows // self.size))]
+        return [InputPartition(k) for k in range(-(-self.rows // self.size))] if self.rows else [InputPartition(None)]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        k = partition.value
+        if partition.value is not None:
+            yield from self._page(partition.value)
+            return
+        for k in range(self.pages):
+            rows = list(self._page(k))
+            yield from rows
+            if len(rows) < self.size:
+                return
+
+    def _page(self, k: int) -> Iterator[tuple]:
         url = self.url.format(page=k + 1, first=k * self.size + 1, last=(k + 1) * self.size)
         with urllib.request.urlopen(url, timeout=60) as answer:
             for row in json.load(answer)[self.field]:

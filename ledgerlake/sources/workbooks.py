@@ -10,12 +10,15 @@ import csv
 import io
 import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+csv.field_size_limit(2**31 - 1)
 SCHEMA = "path string, member string, sheet string, idx int, cells array<string>, error string"
 
 
@@ -88,7 +91,7 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if len(rows) == 10_000:
                         yield pa.RecordBatch.from_pylist(rows, schema)
                         rows = []
-            except (ValueError, KeyError, IndexError, zipfile.BadZipFile, ElementTree.ParseError) as e:
+            except (ValueError, KeyError, IndexError, RuntimeError, NotImplementedError, EOFError, zlib.error, csv.Error, zipfile.BadZipFile, ElementTree.ParseError) as e:
                 rows.append({"path": path, "member": None, "sheet": None, "idx": None, "cells": None, "error": f"{type(e).__name__}: {e}"})
             yield pa.RecordBatch.from_pylist(rows, schema)
 
@@ -96,3 +99,13 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def workbook_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """The lines of all sheets of all files; a file that cannot be read gives one row with its error."""
     return spark.read.format("binaryFile").load(paths).select("path", "content").mapInArrow(_lines, SCHEMA)
+
+
+def placed_rows(lines: DataFrame, places: dict[str, int], carry: list[str] = (), skip: int = 0) -> DataFrame:
+    """Rows of sheets without a header: fields by the positions (from 0) of their cells, behind the first `skip` lines.
+
+    Fields in `carry` keep their last value where a cell is empty, as merged cells do."""
+    cell = lambda i: F.nullif(F.trim(F.get("cells", F.lit(i))), F.lit(""))
+    rows = lines.where((F.col("idx") >= skip) & F.col("error").isNull()).select("path", "member", "sheet", "idx", *(cell(i).alias(f) for f, i in places.items()))
+    down = Window.partitionBy("path", "member", "sheet").orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)
+    return rows.select("path", "member", "sheet", "idx", *((F.last(f, ignorenulls=True).over(down) if f in carry else F.col(f)).alias(f) for f in places))

@@ -44,6 +44,14 @@ def discard(df: DataFrame) -> None:
         target.getFileSystem(conf).delete(target, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets the driver collect the plans of finished jobs, upon which Spark deletes their shuffle files on the executors.
+
+    Spark does so by itself at the driver's next collection; an operator of many jobs calls this where tables that it has
+    written replace the jobs behind them, so that disks hold the shuffles of one step, not of all."""
+    spark._jvm.System.gc()
+
+
 @contextmanager
 def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
     """A scope whose tables are deleted at its end. What it gives writes a result as a table that outlives the scope:

@@ -28,33 +28,49 @@ def distinct_arrivals(stream: DataFrame, key: str, ts: str, lookback: str) -> Da
 
 
 def merge_arrivals(stream: DataFrame, path: str, checkpoint: str, key: list[str], order: list[str]) -> StreamingQuery:
-    """Merges each micro-batch into a table of snapshots under `path`: known rows stay, new keys come in.
+    """Adds each micro-batch's rows with new keys to the table under `path`; known rows stay and are not written again.
 
-    A batch writes snapshot v=<batch>; a batch that comes again overwrites its own, so a restart changes nothing.
+    A batch writes the part d=<batch>; a batch that comes again overwrites its own, so a restart changes nothing. A batch
+    without new keys writes no rows.
     """
     def add(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        known = latest_snapshot(spark, path, before=number)
-        tables = [batch] if known is None else [known, batch]
-        first_wins(tables, key, order).write.mode("overwrite").parquet(f"{path}/v={number}")
+        known = latest_snapshot(batch.sparkSession, path, before=number)
+        fresh = first_wins([batch], key, order)
+        fresh = fresh if known is None else fresh.join(known.select(*key), key, "left_anti").select(*batch.columns)
+        fresh.write.mode("overwrite").parquet(f"{path}/d={number}")
 
     return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
+def retry_list(old: DataFrame, failed: DataFrame, done: DataFrame, url: str, order: list[str], keep: int = 100) -> DataFrame:
+    """Addresses to try again: those that failed before or now and were not read since, each once, the `keep` latest by order."""
+    both = old.unionByName(failed).join(done.select(url).distinct(), url, "left_anti")
+    last = both.groupBy(url).agg(F.max(F.struct(*order)).alias("_o")).select(url, "_o.*")
+    return last.orderBy(*(F.desc(c) for c in order), url).limit(keep)
+
+
+def has_news(batch: DataFrame, known: DataFrame, key: list[str]) -> bool:
+    """Whether a batch has a key that the table lacks; without one nothing is written or computed again."""
+    return not batch.select(*key).join(known.select(*key), key, "left_anti").isEmpty()
+
+
+def _versions(spark: SparkSession, path: str, kind: str = "v") -> list[int]:
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(root):
         return []
     names = [s.getPath() for s in fs.listStatus(root)]
     done = spark._jvm.org.apache.hadoop.fs.Path
-    return sorted(int(p.getName()[2:]) for p in names if p.getName().startswith("v=") and fs.exists(done(p, "_SUCCESS")))
+    return sorted(int(p.getName()[2:]) for p in names if p.getName().startswith(f"{kind}=") and fs.exists(done(p, "_SUCCESS")))
 
 
 def latest_snapshot(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """The newest complete snapshot under path, or the newest before a number; None without one."""
-    found = [v for v in _versions(spark, path) if before is None or v < before]
-    return spark.read.parquet(f"{path}/v={found[-1]}") if found else None
+    """The newest complete snapshot under path, with the parts that merges added; only those before a number, if one is given.
+
+    None without either."""
+    earlier = lambda kind: [f"{path}/{kind}={v}" for v in _versions(spark, path, kind) if before is None or v < before]
+    found = [*earlier("v")[-1:], *earlier("d")]
+    return spark.read.parquet(*found) if found else None
 
 
 def publish_snapshot(df: DataFrame, path: str, passed: bool) -> bool:
