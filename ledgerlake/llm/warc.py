@@ -64,14 +64,16 @@ def merkle_tree(leaves: DataFrame, slots: int, files: int) -> list[DataFrame]:
 
 
 def differing_leaves(a: list[DataFrame], b: list[DataFrame]) -> DataFrame:
-    """(node, a_hash, b_hash) of the leaves that differ between two trees; of each level only the children of nodes that differ are read."""
+    """(node, a_hash, b_hash) of the leaves that differ between two trees, in hash or range; of each level only the children
+    of nodes that differ are read."""
     found = None
     for x, y in zip(reversed(a), reversed(b)):
         if found is not None:
             parents = found.select(F.col("node").alias("parent"))
             x, y = (d.withColumn("parent", F.floor(F.col("node") / FANOUT).cast("long")).join(parents, "parent", "left_semi") for d in (x, y))
-        both = x.select("node", F.col("hash").alias("a_hash")).join(y.select("node", F.col("hash").alias("b_hash")), "node", "full")
-        found = materialize(both.where(~F.col("a_hash").eqNullSafe(F.col("b_hash"))), "merkle_diff")
+        side = lambda d, s: d.select("node", F.col("hash").alias(f"{s}_hash"), F.concat_ws(":", "start", "end", "hash").alias(f"{s}_all"))
+        both = side(x, "a").join(side(y, "b"), "node", "full").where(~F.col("a_all").eqNullSafe(F.col("b_all")))
+        found = materialize(both.drop("a_all", "b_all"), "merkle_diff")
         if found.isEmpty():
             break
     return found
@@ -80,10 +82,12 @@ def differing_leaves(a: list[DataFrame], b: list[DataFrame]) -> DataFrame:
 def fixity_audit(index: DataFrame, first: DataFrame, second: DataFrame) -> DataFrame:
     """(page_id, file, ordinal, start, end, status) of every record on which two replicas differ.
 
-    index is what warc_index() gives; a replica is (record_id, record) with the bytes it holds for an index entry.
-    status is altered (both have the record, with different bytes), missing (only the first has it) or extra (only the
-    second has it). A replica that repeats a record counts with its smallest hash; a null record counts as missing, an
-    empty one as present. Records that are not in the index take no part. Equal replicas and empty tables give no rows.
+    index is what warc_index() gives; a replica is (record_id, record) with the bytes it holds for an index entry, and
+    start and end where it found them, if it has such columns (null or no columns: where the index has them).
+    status is altered (both have the record, with different bytes), moved (the same bytes in another range), missing (only
+    the first has it) or extra (only the second has it). A replica that repeats a record with the same bytes has it once; with
+    different bytes it equals no single copy. A null record counts as missing, an empty one as present. Records that are
+    not in the index take no part. Equal replicas and empty tables give no rows. Start and end are the index's.
     """
     entries = materialize(index.select("record_id", "page_id", "file", "ordinal", "start", "end"), "warc_index")
     most = entries.groupBy("file").count().agg(F.max("count").alias("n"), F.max("file").alias("file")).first()
@@ -92,13 +96,17 @@ def fixity_audit(index: DataFrame, first: DataFrame, second: DataFrame) -> DataF
         slots *= FANOUT
 
     def leaves(replica: DataFrame) -> DataFrame:
-        hashed = replica.where(F.col("record").isNotNull()).select("record_id", F.sha2("record", 256).alias("sha256"))
-        return hashed.groupBy("record_id").agg(F.min("sha256").alias("sha256")).join(entries.select("record_id", "file", "ordinal", "start", "end"), "record_id")
+        own = [F.col(c).cast("long").alias(f"own_{c}") if c in replica.columns else F.lit(None).cast("long").alias(f"own_{c}") for c in ("start", "end")]
+        hashed = replica.where(F.col("record").isNotNull()).select("record_id", F.sha2("record", 256).alias("sha256"), *own)
+        low, high = F.min("sha256"), F.max("sha256")
+        one = hashed.groupBy("record_id").agg(F.when(low == high, low).otherwise(F.sha2(F.concat(low, high), 256)).alias("sha256"), F.min("own_start").alias("own_start"), F.max("own_end").alias("own_end"))
+        placed = one.join(entries.select("record_id", "file", "ordinal", "start", "end"), "record_id")
+        return placed.withColumn("start", F.coalesce("own_start", "start")).withColumn("end", F.coalesce("own_end", "end"))
 
     a, b = merkle_tree(leaves(first), slots, files), merkle_tree(leaves(second), slots, files)
     found = differing_leaves(a, b)
     for level in (*a, *b):
         discard(level)
-    status = F.when(F.col("b_hash").isNull(), "missing").when(F.col("a_hash").isNull(), "extra").otherwise("altered")
+    status = F.when(F.col("b_hash").isNull(), "missing").when(F.col("a_hash").isNull(), "extra").when(F.col("a_hash") == F.col("b_hash"), "moved").otherwise("altered")
     at = found.select(F.floor(F.col("node") / slots).cast("long").alias("file"), (F.col("node") % slots).alias("ordinal"), status.alias("status"))
     return entries.join(at, ["file", "ordinal"]).select("page_id", "file", "ordinal", "start", "end", "status")
