@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from ledgerlake.llm.words import SPACES, mix, sequence_hashes, word_hashes
 from ledgerlake.operators.components import connected_components
-from ledgerlake.storage import discard, materialize
+from ledgerlake.storage import discard, free_shuffles, materialize
 
 #: Part of the token space whose frequencies are counted for order 1.
 COUNTED = np.uint64(2**64 // 5)
@@ -76,52 +76,63 @@ def _prefixes(tokens: np.ndarray, percent: int) -> list[bytes]:
     return [_high_bytes(np.sort(mix(tokens ^ seed))[:p] << np.uint64(3), NARROW) for seed in SEEDS]
 
 
-def _sets(size: int, percent: int):
-    """One pass over the texts: class and sizes of each, and its packed set unless this task has written it before."""
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The rows of batches in small ones, so that what is made of them stays small too."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
+def _classes(size: int, percent: int):
+    """Class and sizes of each text, and its packed indexed tokens unless this task has written them before."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
-            n, counted, rest, keys, packed = [], [], [], [], []
+        for batch in _slices(batches):
+            n, counted, rest, keys, low_out, high_out = [], [], [], [], [], []
             for text in batch.column(1):
                 tokens = tokens_of(text.as_py(), size)
                 low, high = split_tokens(tokens, percent)
                 key = class_of(tokens) if len(tokens) else None
+                fresh = len(tokens) > 0 and key not in seen
                 n.append(len(tokens)), counted.append(len(low)), rest.append(len(high)), keys.append(key)
-                packed.append(tokens.astype("<u8").tobytes() if len(tokens) and key not in seen else None)
-                if len(seen) < 1_000_000:  # only spares work: a set that comes twice changes nothing
+                low_out.append(low.astype("<u8").tobytes() if fresh else None), high_out.append(high.astype("<u8").tobytes() if fresh else None)
+                if len(seen) < 200_000:  # only spares work: a set that comes twice changes nothing but counts
                     seen.add(key)
-            yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(counted, pa.int32()), pa.array(rest, pa.int32()), pa.array(keys, pa.int64()), batch.column(2), pa.array(packed, pa.binary())], ["doc_id", "n_shingles", "counted", "rest", "cls", "row_key", "tokens"])
+            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(counted, pa.int32()), pa.array(rest, pa.int32()), pa.array(keys, pa.int64()), batch.column(2), pa.array(low_out, pa.binary()), pa.array(high_out, pa.binary())]
+            yield pa.record_batch(columns, ["doc_id", "n_shingles", "counted", "rest", "cls", "row_key", "low", "high"])
 
     return run
 
 
-def _postings(percent: int):
-    """(token, cls, zone): the indexed tokens of packed sets."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            tokens_out, class_out, zones = [], [], []
-            for key, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for zone, part in enumerate(split_tokens(_set(data.as_buffer()), percent)):
-                    tokens_out.append(part), class_out.append(np.full(len(part), key, np.int64)), zones.append(np.full(len(part), zone, np.int8))
-            if tokens_out:
-                yield pa.record_batch([pa.array(np.concatenate(tokens_out).view(np.int64)), pa.array(np.concatenate(class_out)), pa.array(np.concatenate(zones))], ["token", "cls", "zone"])
-
-    return run
+def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(token, cls, zone): the indexed tokens of classes."""
+    for batch in _slices(batches):
+        tokens_out, class_out, zones = [], [], []
+        for key, *parts in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            for zone, part in enumerate(_set(data.as_buffer()) for data in parts):
+                tokens_out.append(part), class_out.append(np.full(len(part), key, np.int64)), zones.append(np.full(len(part), zone, np.int8))
+        if tokens_out:
+            yield pa.record_batch([pa.array(np.concatenate(tokens_out).view(np.int64)), pa.array(np.concatenate(class_out)), pa.array(np.concatenate(zones))], ["token", "cls", "zone"])
 
 
-def _with_prefixes(percent: int):
-    """Adds the prefixes under orders 2 and 3 to packed sets."""
+def _packed(size: int, percent: int):
+    """The whole sets of wanted classes from their texts, with the prefixes under orders 2 and 3."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            both = [_prefixes(_set(data.as_buffer()), percent) for data in batch.column(2)]
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array([a for a, _ in both], pa.binary()), pa.array([b for _, b in both], pa.binary()), batch.column(2)], ["cls", "n", "second", "third", "tokens"])
+        for batch in _slices(batches):
+            keys, n, second, third, sets = [], [], [], [], []
+            for wanted, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                tokens = tokens_of(text.as_py(), size)
+                if len(tokens) and class_of(tokens) == wanted:  # two rows of one key may hold different texts
+                    a, b = _prefixes(tokens, percent)
+                    keys.append(wanted), n.append(len(tokens)), second.append(a), third.append(b), sets.append(tokens.astype("<u8").tobytes())
+            yield pa.record_batch([pa.array(keys, pa.int64()), pa.array(n, pa.int64()), *(pa.array(x, pa.binary()) for x in (second, third, sets))], ["cls", "n", "second", "third", "tokens"])
 
     return run
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(token, cls, zone): every token of packed sets."""
-    for batch in batches:
+    for batch in _slices(batches):
         sets = [_set(x.as_buffer()) for x in batch.column(1)]
         if sets:
             size = np.array([len(x) for x in sets])
@@ -154,39 +165,51 @@ def _compare(percent: int):
     return run
 
 
-def _hot_tokens(counts: DataFrame) -> DataFrame:
-    """Tokens with more than 64 postings and more than a 10,000th of all that are counted: at most 10,000 rows, however
-    many postings there are, so the table is safe to broadcast. counts has token and df."""
+def _hot_tokens(counts: DataFrame) -> DataFrame | None:
+    """Tokens with more than 64 postings and more than a 10,000th of all that are counted, None without any.
+
+    They are at most 10,000, however many postings there are, so the table is safe to broadcast. counts has token and df."""
     total = counts.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n")).first()["n"]
-    return materialize(counts.where((F.col("df") > 64) & (F.col("df") * HOT > total)).select("token", F.lit(True).alias("hot")).coalesce(1), "shingle_hot")
+    hot = materialize(counts.where((F.col("df") > 64) & (F.col("df") * HOT > total)).select("token", F.lit(True).alias("hot")).coalesce(1), "shingle_hot")
+    return None if hot.isEmpty() else hot
 
 
-def _dealt(df: DataFrame, hot: DataFrame, by: F.Column | None) -> DataFrame:
+def _dealt(df: DataFrame, hot: DataFrame | None, by: F.Column | None) -> DataFrame:
     """df with a salt: the rows of a hot token go to SALTS parts by a column, or to all of them (by is None)."""
+    if hot is None:
+        return df.withColumn("salt", F.lit(0))
     marked = df.join(F.broadcast(hot), "token", "left")
     if by is None:
         return marked.withColumn("salt", F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop("hot")
     return marked.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")).otherwise(0)).drop("hot")
 
 
-def _by_token(many: DataFrame, one: DataFrame, hot: DataFrame, how: str = "inner") -> DataFrame:
+def _by_token(many: DataFrame, one: DataFrame, hot: DataFrame | None, how: str = "inner") -> DataFrame:
     """many joined by token with a table of one row for each token; rows of a hot token are dealt to several tasks."""
+    if hot is None:
+        return many.join(one, "token", how)
     return _dealt(many, hot, F.col("cls")).join(_dealt(one, hot, None), ["token", "salt"], how).drop("salt")
 
 
-def _prefix_index(postings: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(token, cls, n, pos, shared): the tokens of each prefix under order 1 that two postings have; pos from 1."""
+def _prefix_index(postings: DataFrame, classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame | None]:
+    """(token, cls, n, pos, shared): the tokens of each prefix under order 1 that two postings have; pos from 1. And the
+    hot tokens among them."""
     counts = materialize(postings.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "shingle_counts")
-    shared = _by_token(postings, counts, _hot_tokens(counts)).groupBy("cls").agg(F.sort_array(F.collect_set(F.struct("zone", "df", "token"))).alias("tokens"))
+    hot = _hot_tokens(counts)
+    shared = _by_token(postings, counts, hot).groupBy("cls").agg(F.sort_array(F.collect_set(F.struct("zone", "df", "token"))).alias("tokens"))
     first = F.size(F.filter("tokens", lambda x: x["zone"] == 0))
     # tokens that only one posting has come before the others of their part of the order
     pos = F.col("i") + 1 + F.col("counted") - F.col("first") + F.when(F.col("t.zone") == 1, F.col("rest") - (F.col("all") - F.col("first"))).otherwise(0)
-    return (
+    index = (
         shared.join(classes, "cls").withColumn("first", first).withColumn("all", F.size("tokens"))
         .select("cls", "n", "counted", "rest", "first", "all", F.posexplode("tokens").alias("i", "t"))
         .select(F.col("t.token").alias("token"), "cls", "n", pos.alias("pos"), (F.col("all") / (F.col("counted") + F.col("rest"))).alias("shared"))
         .where(F.col("pos") <= F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1)
     )
+    index = materialize(index, "shingle_index")
+    discard(counts)
+    free_shuffles(postings.sparkSession)
+    return index, hot
 
 
 def _may_link(percent: int) -> F.Column:
@@ -210,20 +233,20 @@ def _placed(index: DataFrame, labels: DataFrame) -> DataFrame:
     return index.drop("component").join(named, "cls", "left").withColumn("component", F.coalesce("_c", "cls")).drop("_c")
 
 
-def _open_lists(index: DataFrame, hot: DataFrame) -> DataFrame:
+def _open_lists(index: DataFrame, hot: DataFrame | None) -> DataFrame:
     """The posting lists that hold more than one component."""
     mixed = index.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
     return _by_token(index, mixed, hot, "left_semi")
 
 
-def _star_pairs(index: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
+def _star_pairs(index: DataFrame, hot: DataFrame | None, percent: int) -> DataFrame:
     """Pairs of each posting list's leader, its member with most shared tokens, and the members of other components."""
     lists = index.groupBy("token").agg(F.max_by(F.struct("cls", "n", "pos", "component"), F.struct("shared", "cls")).alias("l"), F.min("component").alias("low"), F.max("component").alias("high"))
     met = _by_token(index, _other(lists.where("low < high").select("token", "l.*")), hot)
     return _ordered_pairs(met.where((F.col("component") != F.col("o_component")) & _may_link(percent)))
 
 
-def _list_pairs(index: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
+def _list_pairs(index: DataFrame, hot: DataFrame | None, percent: int) -> DataFrame:
     """Pairs within each posting list of members in different components.
 
     The join is by token and a class of length: lengths that differ by no more than the threshold allows lie in the same
@@ -269,27 +292,26 @@ def ngram_jaccard_join(docs: DataFrame, size: int = 3, percent: int = 90, id_col
 def _linked(base: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """ngram_jaccard_join() of (doc_id, text); its documents have each row's row_key and component, a class, too."""
     base = base.withColumn("row_key", _row_key(F.col("doc_id"), F.col("text")))
-    rows = materialize(base.mapInArrow(_sets(size, percent), "doc_id long, n_shingles long, counted int, rest int, cls long, row_key long, tokens binary"), "shingle_sets")
-    classes = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.first("n_shingles").alias("n"), F.first("counted").alias("counted"), F.first("rest").alias("rest"), F.min("doc_id").alias("doc_id"))
-    sets = rows.where("tokens IS NOT NULL").select("cls", F.col("n_shingles").alias("n"), "tokens")
-    index = materialize(_prefix_index(sets.select("cls", "tokens").mapInArrow(_postings(percent), POSTING), classes.drop("doc_id"), percent), "shingle_index")
-    hot = _hot_tokens(index.groupBy("token").agg(F.count("*").alias("df")))
+    rows = materialize(base.mapInArrow(_classes(size, percent), "doc_id long, n_shingles long, counted int, rest int, cls long, row_key long, low binary, high binary"), "shingle_classes")
+    classes = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.first("n_shingles").alias("n"), F.first("counted").alias("counted"), F.first("rest").alias("rest"), F.min("doc_id").alias("doc_id"), F.min("row_key").alias("row_key"))
+    postings = rows.where("low IS NOT NULL").select("cls", "low", "high").mapInArrow(_postings, POSTING)
+    index, hot = _prefix_index(postings, classes.drop("doc_id", "row_key"), percent)
 
     # first pass: each posting list against its leader
     index = index.withColumn("component", F.col("cls"))
     near = materialize(_star_pairs(index, hot, percent), "shingle_stars")
-    wanted = _open_lists(index, hot).select("cls").distinct()
-    packed = sets.join(wanted, "cls", "left_semi").dropDuplicates(["cls"]).mapInArrow(_with_prefixes(percent), "cls long, n long, second binary, third binary, tokens binary")
-    packed = materialize(packed, "shingle_packed")
+    wanted = _open_lists(index, hot).select("cls").distinct().join(classes.select("cls", "row_key"), "cls")
+    texts = base.select("row_key", "text").join(wanted, "row_key").dropDuplicates(["row_key"])
+    packed = materialize(texts.select("cls", "text").mapInArrow(_packed(size, percent), "cls long, n long, second binary, third binary, tokens binary"), "shingle_packed")
+    free_shuffles(base.sparkSession)
     links = materialize(_verified(near, packed, percent), "shingle_links")
 
     # second pass: sets of lists that still meet other components, by frequencies of all their tokens
     labels = connected_components(links)
     left = materialize(_open_lists(_placed(index, labels), hot).select("cls").distinct(), "shingle_open")
     again = packed.join(left, "cls").select("cls", "n", "tokens")
-    fine = _prefix_index(again.select("cls", "tokens").mapInArrow(_unpacked, POSTING), again.select("cls", "n", F.col("n").alias("counted"), F.lit(0).alias("rest")), percent)
-    fine = materialize(fine, "shingle_index")
-    hot = _hot_tokens(fine.groupBy("token").agg(F.count("*").alias("df")))
+    fine, hot = _prefix_index(again.select("cls", "tokens").mapInArrow(_unpacked, POSTING), again.select("cls", "n", F.col("n").alias("counted"), F.lit(0).alias("rest")), percent)
+    free_shuffles(base.sparkSession)
     links2 = materialize(_verified(_star_pairs(_placed(fine, labels), hot, percent), packed, percent), "shingle_links")
     links = links.unionByName(links2)
 
