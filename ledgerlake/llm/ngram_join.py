@@ -77,10 +77,11 @@ def _prefixes(tokens: np.ndarray, percent: int) -> list[bytes]:
 
 
 def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
-    """The rows of batches in small ones, so that what is made of them stays small too."""
+    """The rows of batches in small ones, so that what is made of them stays small too; unused buffers go back at once."""
     for batch in batches:
         for at in range(0, len(batch), rows):
             yield batch.slice(at, rows)
+        pa.default_memory_pool().release_unused()
 
 
 def _classes(size: int, percent: int):
@@ -146,7 +147,7 @@ def _share_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         cut = lambda d: {d[i : i + NARROW] for i in range(0, len(d), NARROW)}
         return not cut(x).isdisjoint(cut(y))
 
-    for batch in batches:
+    for batch in _slices(batches):
         cols = [batch.column(i).to_pylist() for i in range(2, 6)]
         keep = pa.array([meet(a2, b2) and meet(a3, b3) for a2, a3, b2, b3 in zip(*cols)], pa.bool_())
         yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(keep)
@@ -154,7 +155,7 @@ def _share_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def _compare(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             keep = []
             for x, y in zip(batch.column(2), batch.column(3)):
                 x, y = _set(x.as_buffer()), _set(y.as_buffer())

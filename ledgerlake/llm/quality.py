@@ -65,11 +65,12 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column(0):
             docs.append(units_of(text.as_py()))
             size += len(docs[-1][0])
-            if size > 200_000:
+            if size > 50_000:
                 add(docs)
                 docs, size = [], 0
         if docs:
             add(docs)
+        pa.default_memory_pool().release_unused()
     there = np.flatnonzero(seen)
     yield pa.record_batch([pa.array(there), pa.array(list(total.reshape(UNITS, DIMS)[there]), pa.list_(pa.float64()))], ["unit", "vector"])
 
@@ -211,6 +212,7 @@ def _keep(shared, at: int, least: float):
         for batch in batches:
             x = np.array([features_of(text.as_py(), vectors) for text in batch.column(at)]).reshape(-1, FEATURES)
             yield batch.filter(pa.array(net.scores(x) >= least))
+            pa.default_memory_pool().release_unused()
 
     return run
 
