@@ -4,8 +4,8 @@ Under any total order of tokens, two sets whose Jaccard similarity reaches the t
 n - ceil(t * n) + 1 tokens of each (the prefix). So candidates must share a prefix token under every order used here:
 
 * order 1 sorts by document frequency, rare first, and builds the inverted index. Frequencies are counted over all
-  documents for a fixed fifth of the token space (the tokens whose hash is low); those tokens come first, the rest
-  after them. A set with fewer tokens in that part than its prefix is long also counts and indexes its other tokens.
+  documents for a fixed part of the token space (the tokens whose hash is low, a fifth at 90 %); those tokens come first,
+  the rest after them. A set with fewer tokens in that part than its prefix is long also counts and indexes its other tokens.
 * orders 2 and 3 sort by two further hashes. Their prefixes are kept beside each set, and a candidate pair of order 1
   must intersect in both before its sets are compared.
 
@@ -32,7 +32,6 @@ from ledgerlake.operators.components import connected_components
 from ledgerlake.storage import discard, free_shuffles, materialize
 
 #: Part of the token space whose frequencies are counted for order 1.
-COUNTED = np.uint64(2**64 // 5)
 #: Seeds of orders 2 and 3.
 SEEDS = np.array([0x5851F42D4C957F2D, 0x14057B7EF767814F], np.uint64)
 #: At most this many tokens count as hot; their rows are dealt to SALTS tasks.
@@ -56,9 +55,15 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def counted_below(percent: int) -> np.uint64:
+    """The bound of the counted part of the token space: twice the share of a set that its prefix takes, so that the counted
+    tokens of nearly all sets cover their prefixes."""
+    return np.uint64(min(2**64 - 1, 2**64 * 2 * (100 - percent) // 100))
+
+
 def split_tokens(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """The indexed tokens of a set: those in the counted part, and the others if the first are fewer than the prefix."""
-    low = tokens < COUNTED
+    low = tokens < counted_below(percent)
     counted, rest = tokens[low], tokens[~low]
     return counted, rest if len(counted) < prefix_length(len(tokens), percent) else rest[:0]
 
