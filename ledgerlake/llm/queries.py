@@ -15,7 +15,10 @@ from ledgerlake.llm.decontaminate import decontaminate
 from ledgerlake.llm.ngram_join import ngram_jaccard_join
 from ledgerlake.llm.pii import find_personal_data
 from ledgerlake.llm.quality import quality_scores
+from ledgerlake.llm.quality_rules import BASE, RULES, STOP_WORDS, quality_rules
+from ledgerlake.llm.ranked_search import ranked_search, term_index
 from ledgerlake.llm.sentencepieces import encode_digests
+from ledgerlake.llm.source_divergence import source_divergence
 from ledgerlake.llm.toxicity import toxicity_scores
 from ledgerlake.llm.warc import fixity_audit, warc_index, warc_records
 from ledgerlake.llm.wordpiece import token_counts
@@ -96,6 +99,20 @@ def op10_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixity_audit(warc_index(records), records, records.withColumn("record", damaged))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents")).withColumn("rules_failed", F.concat_ws(",", "rules_failed"))
+
+
+@written
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(term_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"), k=10)
+
+
+@written
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"), least_docs=30, most_terms=50)
+
+
 def piece_model() -> str:
     """The public merge-type SentencePiece model; LEDGERLAKE_PIECE_MODEL names another file."""
     if found := os.environ.get("LEDGERLAKE_PIECE_MODEL"):
@@ -116,8 +133,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_token_counts": op9_token_counts,
     "op10_warc_fixity": op10_warc_fixity,
+    "op11_quality_rules": op11_quality_rules,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_source_divergence": op13_source_divergence,
 }
 
+
+def _rule_sql(part: str, whole: str | None, least: float | None, most: float | None) -> str:
+    value = f"CASE WHEN {whole} = 0 THEN 0.0::DOUBLE ELSE {part}::DOUBLE / {whole} END" if whole else f"{part}::DOUBLE"
+    return " OR ".join([f"{value} < {least!r}::DOUBLE"] * (least is not None) + [f"{value} > {most!r}::DOUBLE"] * (most is not None))
+
+
+_BROKEN = ", ".join(f"CASE WHEN {_rule_sql(*r[1:])} THEN '{r.name}' END" for r in RULES)
+
 #: Equivalents that DuckDB can run; operators that SQL cannot express, or not fast enough, have none.
 ORACLE_SQL: dict[str, str] = {
     "op2_chat_formatting": r"""
@@ -151,4 +179,53 @@ ORACLE_SQL: dict[str, str] = {
         SELECT page_id, file, ordinal, ("end" - size)::BIGINT AS start, "end"::BIGINT AS "end",
             CASE WHEN page_id % 97 = 13 OR page_id % 101 = 7 THEN 'altered' ELSE 'missing' END AS status
         FROM w WHERE page_id % 97 = 13 OR page_id % 101 = 7 OR page_id % 103 = 5""",
+    "op11_quality_rules": rf"""
+        WITH w AS (
+            SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+            FROM (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents)),
+        g AS (SELECT k, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS gram FROM (SELECT k, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
+        twice AS (SELECT k, i FROM (SELECT k, i, count(*) OVER (PARTITION BY k, gram) AS n FROM g) WHERE n > 1),
+        hit AS (SELECT k, count(DISTINCT i + j) AS n FROM twice CROSS JOIN range(3) r(j) GROUP BY k),
+        c AS (
+            SELECT doc_id, len(words)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+                (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+                (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words, len(lines)::BIGINT AS n_lines,
+                (length(t) - length(regexp_replace(t, '[!?.,;:]', '', 'g')))::BIGINT AS n_marks,
+                (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')))::BIGINT AS n_capitals,
+                len(list_filter(words, lambda x: list_contains({sorted(set(STOP_WORDS))!r}, lower(x))))::BIGINT AS n_stop_words,
+                len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•‣·]')))::BIGINT AS n_bullet_lines,
+                len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$')))::BIGINT AS n_cut_lines
+            FROM w LEFT JOIN hit USING (k)),
+        f AS (SELECT *, concat_ws(',', {_BROKEN}) AS rules_failed, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c)
+        SELECT *, rules_failed = '' AS kept FROM f""",
+    "op12_ranked_search": r"""
+        WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents WHERE text IS NOT NULL),
+        s AS (SELECT count(*) AS many, sum(len(terms))::BIGINT AS length FROM d WHERE len(terms) > 0),
+        p AS (SELECT k, doc_id, n, term, count(*) AS tf FROM (SELECT k, doc_id, len(terms) AS n, unnest(terms) AS term FROM d) GROUP BY ALL),
+        w AS (SELECT term, floor(1000 * ln((2 * many + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, s GROUP BY term, many),
+        q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark WHERE item_id IS NOT NULL),
+        r AS (
+            SELECT item_id, k, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * many) // length))))::BIGINT AS score
+            FROM q JOIN w USING (term) JOIN p USING (term), s GROUP BY item_id, k, doc_id)
+        SELECT item_id, (row_number() OVER o)::INT AS rank, doc_id, score FROM r WHERE score > 0
+        WINDOW o AS (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST, k) QUALIFY rank <= 10""",
+    "op13_source_divergence": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+        t AS (SELECT k, lang, source, unnest(terms) AS term FROM d),
+        kept AS (SELECT lang, term, count(*) AS total FROM t GROUP BY lang, term HAVING count(DISTINCT k) >= 30),
+        u AS (SELECT lang, source, term, count(*) AS c FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+        v AS (SELECT lang, count(*) AS V, sum(total) AS LN FROM kept GROUP BY lang),
+        g AS (SELECT lang, source, coalesce(sum(c), 0) AS N FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN u USING (lang, source) GROUP BY ALL),
+        p AS (
+            SELECT g.lang, g.source, kept.term, coalesce(c, 0) AS c, 1 + ((coalesce(c, 0) + 5)::HUGEINT * 1000000000) // (N + 5 * V) AS p,
+                1 + ((total + 5)::HUGEINT * 1000000000) // (LN + 5 * V) AS q
+            FROM g JOIN kept ON g.lang = kept.lang JOIN v ON v.lang = g.lang LEFT JOIN u ON u.lang = g.lang AND u.source = g.source AND u.term = kept.term),
+        x AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS f FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        r AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f, 0)::BIGINT AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+                LEFT JOIN x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+            UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE c > 0 AND p > q)
+        SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM r QUALIFY part = 'pair' OR rank <= 50""",
 }
