@@ -3,18 +3,14 @@
 from __future__ import annotations
 
 import base64
-import csv
 import gzip
-import io
-from collections.abc import Iterator
 
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CELLS = pa.schema([("path", pa.string()), ("cells", pa.map_(pa.string(), pa.string()))])
+from ledgerlake.sources.ranged import ranged_csv
 
 
 def json_rows(spark: SparkSession, paths: str | list[str], row: T.StructType, field: str = "rows") -> DataFrame:
@@ -38,56 +34,10 @@ def packed_rows(spark: SparkSession, folder: str, row: T.StructType, field: str
     return whole.select(F.explode(F.from_json(text, T.StructType([T.StructField(field, T.ArrayType(row))]))[field]).alias("_r")).select("_r.*")
 
 
-def _text_of(data: bytes, encodings: tuple[str, ...], path: str) -> str:
-    for encoding in encodings:
-        try:
-            return data.decode(encoding)
-        except UnicodeDecodeError:
-            continue
-    raise ValueError(f"no encoding of {encodings} fits {path}")
-
-
-def _misfits(encodings: tuple[str, ...], required: list[str]):
-    """(path, problem) of files that fit no encoding or whose header lacks a column."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for path, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
-                try:
-                    header = next(csv.reader(io.StringIO(_text_of(blob.as_py(), encodings, path), newline="")), [])
-                    lacks = sorted(set(required) - {c.strip() for c in header})
-                    out += [{"path": path, "problem": f"{path} lacks the columns {lacks}"}] if lacks else []
-                except ValueError as e:
-                    out.append({"path": path, "problem": str(e)})
-            yield pa.RecordBatch.from_pylist(out, pa.schema([("path", pa.string()), ("problem", pa.string())]))
-
-    return run
-
-
-def _decoded(encodings: tuple[str, ...]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
-                reader = csv.reader(io.StringIO(_text_of(blob.as_py(), encodings, path), newline=""))
-                header, rows = [c.strip() for c in next(reader, [])], []
-                for line in reader:
-                    rows.append({"path": path, "cells": list(dict(zip(header, line)).items())})
-                    if len(rows) == 10_000:
-                        yield pa.RecordBatch.from_pylist(rows, CELLS)
-                        rows = []
-                yield pa.RecordBatch.from_pylist(rows, CELLS)
-
-    return run
-
-
 def probed_csv(spark: SparkSession, paths: str | list[str], required: list[str], encodings: tuple[str, ...] = ("utf-8-sig", "cp949")) -> DataFrame:
     """The required columns of CSV files, each file in the first encoding that all its bytes fit; several files are one
-    table. Raises ValueError if a file fits none, or lacks a required column. A file is decoded whole by one task."""
-    files = spark.read.format("binaryFile").load(paths).select("path", "content")
-    if bad := files.mapInArrow(_misfits(encodings, required), "path string, problem string").first():
-        raise ValueError(bad["problem"])
-    cells = files.mapInArrow(_decoded(encodings), "path string, cells map<string,string>")
-    return cells.select(*(F.try_element_at("cells", F.lit(c)).alias(c) for c in required))
+    table. Raises ValueError if a file fits none, or lacks a required column. Files are read by ranges: see ranged_csv()."""
+    return ranged_csv(spark, paths, required, encodings)
 
 
 def status_list(spark: SparkSession, path: str) -> DataFrame:
