@@ -52,6 +52,21 @@ def free_shuffles(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: int = 4 << 20) -> Iterator[None]:
+    """Arrow batches of at most about `size` bytes for the jobs that run inside, whatever the length of their rows.
+
+    A batch is held by the JVM and by Python at once, and Spark's own bounds (10,000 rows, 256 MB) let rows of long values
+    fill an executor beside its heap. A row longer than that is a batch of its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 @contextmanager
 def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
     """A scope whose tables are deleted at its end. What it gives writes a result as a table that outlives the scope:
