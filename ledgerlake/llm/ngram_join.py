@@ -29,9 +29,8 @@ from pyspark.sql import types as T
 
 from ledgerlake.llm.words import SPACES, mix, sequence_hashes, word_hashes
 from ledgerlake.operators.components import connected_components
-from ledgerlake.storage import discard, free_shuffles, materialize
+from ledgerlake.storage import discard, free_shuffles, materialize, small_batches
 
-#: Part of the token space whose frequencies are counted for order 1.
 #: Seeds of orders 2 and 3.
 SEEDS = np.array([0x5851F42D4C957F2D, 0x14057B7EF767814F], np.uint64)
 #: At most this many tokens count as hot; their rows are dealt to SALTS tasks.
@@ -297,6 +296,11 @@ def ngram_jaccard_join(docs: DataFrame, size: int = 3, percent: int = 90, id_col
 
 def _linked(base: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """ngram_jaccard_join() of (doc_id, text); its documents have each row's row_key and component, a class, too."""
+    with small_batches(base.sparkSession):
+        return _found(base, size, percent)
+
+
+def _found(base: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     base = base.withColumn("row_key", _row_key(F.col("doc_id"), F.col("text")))
     rows = materialize(base.mapInArrow(_classes(size, percent), "doc_id long, n_shingles long, counted int, rest int, cls long, row_key long, low binary, high binary"), "shingle_classes")
     classes = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.first("n_shingles").alias("n"), F.first("counted").alias("counted"), F.first("rest").alias("rest"), F.min("doc_id").alias("doc_id"), F.min("row_key").alias("row_key"))
