@@ -156,8 +156,13 @@ def labelled_sample(labels: DataFrame, column: str, folds: int, out: int, rows:
 
 
 def sampled_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
-    """(doc_id, y, text) of sampled ids; the sample is broadcast, its number of rows is bounded by labelled_sample()."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id").select("doc_id", "y", "text")
+    """(doc_id, y, text), one row for each sampled id: of several rows with its id, that whose text has the least hash.
+
+    The sample is broadcast; its rows, and so the rows here, are bounded by labelled_sample(). Copies of an id are reduced
+    to one text in each task before they are shuffled."""
+    text = F.col("text").cast("string")
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct(F.xxhash64(text).alias("hash"), text.alias("text")).alias("t")).join(F.broadcast(sample), "doc_id")
+    return found.groupBy("doc_id").agg(F.first("y").alias("y"), F.min("t").alias("t")).select("doc_id", "y", F.col("t.text").alias("text"))
 
 
 def _features(shared):
@@ -180,7 +185,7 @@ def _score(shared):
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, column: str = "quality", folds: int = 3, out: int = 1, sample_rows: int = 20_000) -> tuple[np.ndarray, Network]:
-    """Context vectors over all documents and the network trained on at most sample_rows labelled documents."""
+    """Context vectors over all documents and the network trained on at most sample_rows labelled documents, one for each id."""
     vectors = context_vectors(docs)
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
     rows = sampled_texts(docs, labelled_sample(labels, column, folds, out, sample_rows)).mapInArrow(_features(shared), "doc_id long, y double, x array<double>").toPandas().sort_values("doc_id", kind="stable")
@@ -218,6 +223,9 @@ def _keep(shared, at: int, least: float):
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, folds: int = 3, out: int = 1, least: float = 0.5) -> DataFrame:
-    """The rows of docs, with all their columns, whose quality score is at least `least`."""
+    """The rows of docs, with all their columns, whose quality score is at least `least`.
+
+    Null and empty texts have the score of all-zero features and are judged by it like others; rows that repeat are judged
+    each; an empty table stays empty."""
     shared = docs.sparkSession.sparkContext.broadcast(fit_quality(docs, labels, "quality", folds, out))
     return docs.mapInArrow(_keep(shared, docs.columns.index("text"), least), docs.schema)

@@ -53,7 +53,7 @@ RULES = [
     Rule("marks", "n_marks", "word_chars", most=0.15),
     Rule("capitals", "n_capitals", "word_chars", most=0.5),
     Rule("stop_words", "n_stop_words", "n_words", least=0.02),
-    Rule("repeated_lines", "n_dup_lines", "n_lines", most=0.3),
+    Rule("repeated_lines", "n_dup_lines", "n_lines", most=0.5),
     Rule("bullet_lines", "n_bullet_lines", "n_lines", most=0.9),
     Rule("cut_lines", "n_cut_lines", "n_lines", most=0.3),
 ]

@@ -273,8 +273,8 @@ def _score(shared):
     return run
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, out: int = 0, sample_rows: int = 6000, landmarks: int = 512, steps: int = 3, tasks: int = 8) -> StringMachine:
-    """Trains on at most sample_rows labelled documents, all their sentences and words.
+def fit_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, out: int = 0, sample_rows: int = 6000, landmarks: int = 512, steps: int = 100, tasks: int = 8) -> StringMachine:
+    """Trains on at most sample_rows labelled documents, all their sentences and words, until a Newton step changes nothing.
 
     There are as many landmarks as the root of the number of distinct words, at most `landmarks`. Half of them are the words whose share of weight in toxic sentences is the most surprising, half the most
     used others. The words are dealt to `tasks` tasks; of each Newton step the driver gets one matrix for each task.
@@ -305,6 +305,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, out: int =
         w, old = newton_step(sums), w
         if np.allclose(w, old, atol=1e-5):
             break
+    else:
+        raise ArithmeticError(f"{steps} Newton steps did not converge")
     shared.destroy()
     discard(types)
     machine = StringMachine((turn @ w[:-1]).astype(np.float64), float(w[-1]), silent.document)
