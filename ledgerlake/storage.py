@@ -44,27 +44,27 @@ def discard(df: DataFrame) -> None:
         target.getFileSystem(conf).delete(target, True)
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Lets the driver collect the plans of finished jobs, upon which Spark deletes their shuffle files on the executors.
-
-    Spark does so by itself at the driver's next collection; an operator of many jobs calls this where tables that it has
-    written replace the jobs behind them, so that disks hold the shuffles of one step, not of all."""
-    spark._jvm.System.gc()
-
-
 @contextmanager
-def small_batches(spark: SparkSession, size: int = 4 << 20) -> Iterator[None]:
-    """Arrow batches of at most about `size` bytes for the jobs that run inside, whatever the length of their rows.
-
-    A batch is held by the JVM and by Python at once, and Spark's own bounds (10,000 rows, 256 MB) let rows of long values
-    fill an executor beside its heap. A row longer than that is a batch of its own."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, str(size))
+def settings(spark: SparkSession, **values: object) -> Iterator[None]:
+    """Session settings (dots as double underscores) for the jobs that run inside; what was set before comes back."""
+    names = {k.replace("__", "."): str(v) for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def frugal(spark: SparkSession, batch: int = 4 << 20):
+    """Settings for operators that write tables between many jobs.
+
+    Arrow batches hold at most about `batch` bytes, whatever the length of their rows: a batch is in the JVM and in Python
+    at once, and Spark's own bounds (10,000 rows, 256 MB) let long rows fill an executor beside its heap. The shuffle files
+    of a job are deleted when it ends: the table that it has written stands for them."""
+    return settings(spark, spark__sql__execution__arrow__maxBytesPerBatch=batch, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true")
 
 
 @contextmanager
