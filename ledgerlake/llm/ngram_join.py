@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from ledgerlake.llm.words import SPACES, mix, sequence_hashes, word_hashes
 from ledgerlake.operators.components import connected_components
-from ledgerlake.storage import discard, free_shuffles, materialize, small_batches
+from ledgerlake.storage import discard, frugal, materialize
 
 #: Seeds of orders 2 and 3.
 SEEDS = np.array([0x5851F42D4C957F2D, 0x14057B7EF767814F], np.uint64)
@@ -213,7 +213,6 @@ def _prefix_index(postings: DataFrame, classes: DataFrame, percent: int) -> tupl
     )
     index = materialize(index, "shingle_index")
     discard(counts)
-    free_shuffles(postings.sparkSession)
     return index, hot
 
 
@@ -296,7 +295,7 @@ def ngram_jaccard_join(docs: DataFrame, size: int = 3, percent: int = 90, id_col
 
 def _linked(base: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """ngram_jaccard_join() of (doc_id, text); its documents have each row's row_key and component, a class, too."""
-    with small_batches(base.sparkSession):
+    with frugal(base.sparkSession):
         return _found(base, size, percent)
 
 
@@ -313,7 +312,6 @@ def _found(base: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFra
     wanted = _open_lists(index, hot).select("cls").distinct().join(classes.select("cls", "row_key"), "cls")
     texts = base.select("row_key", "text").join(wanted, "row_key").dropDuplicates(["row_key"])
     packed = materialize(texts.select("cls", "text").mapInArrow(_packed(size, percent), "cls long, n long, second binary, third binary, tokens binary"), "shingle_packed")
-    free_shuffles(base.sparkSession)
     links = materialize(_verified(near, packed, percent), "shingle_links")
 
     # second pass: sets of lists that still meet other components, by frequencies of all their tokens
@@ -321,7 +319,6 @@ def _found(base: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFra
     left = materialize(_open_lists(_placed(index, labels), hot).select("cls").distinct(), "shingle_open")
     again = packed.join(left, "cls").select("cls", "n", "tokens")
     fine, hot = _prefix_index(again.select("cls", "tokens").mapInArrow(_unpacked, POSTING), again.select("cls", "n", F.col("n").alias("counted"), F.lit(0).alias("rest")), percent)
-    free_shuffles(base.sparkSession)
     links2 = materialize(_verified(_star_pairs(_placed(fine, labels), hot, percent), packed, percent), "shingle_links")
     links = links.unionByName(links2)
 

@@ -1,12 +1,12 @@
 """Ranked lexical search as a threshold-seeded join.
 
-The index holds the terms of every whole text with their counts. For the terms of a set of items it stores the k largest
-impacts (a term's weight times its part in a document's score) with their documents. They seed each item's threshold: the
-k best documents by the sum of their stored impacts are scored exactly, and the k-th of these scores is a lower bound of
-the k-th score of the answer, at least as high as any single stored k-th impact.
+The index holds the terms of every whole text with their counts. For the terms of a set of items it stores the
+largest impacts (a term's weight times its part in a document's score), some times k of them, with their documents. They
+seed each item's threshold: the best documents by the sum of their stored impacts are scored exactly, and the k-th of these
+scores is a lower bound of the k-th score of the answer.
 
-An item's terms are ordered by their largest impact. Terms at the end whose largest impacts sum to less than the threshold
-cannot lift a document into the answer alone, so only the terms before them join with the index. An occurrence is left out
+An item's terms are ordered by their largest impact. Terms at the end whose largest impacts sum to less than a part of the
+threshold cannot lift a document into the answer alone, so only the terms before them join with the index. An occurrence is left out
 where even the largest impacts of all the item's other terms would not reach the threshold, and so is a document whose sum
 over the joined terms and the largest impacts of the others stay below it. What is left is scored exactly over all terms.
 Every bound is an upper bound and only sums strictly below the threshold go, so documents of equal scores are never lost.
@@ -24,10 +24,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.terms import ALNUM, count_terms, strings
-from ledgerlake.storage import materialize
+from ledgerlake.storage import frugal, materialize
 
 #: Terms that one record batch of the index holds, about.
 BATCH = 100_000
+#: For an answer of k: k times so many stored impacts of a term, and k times so many seeds of an item. Both only sharpen the
+#: threshold.
+STORED, SEEDS = 10, 5
+#: Terms are left to the exact scores while their largest impacts sum to less than this part of the threshold (its inverse):
+#: the more is left out, the more documents stay candidates.
+PRUNED = 4
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,18 +82,20 @@ def ranked_search(index: DataFrame, items: DataFrame, k: int = 10, id_column: st
     be named and has none. Rows of one item_id are one item, with the terms of all of them. An empty index or table of items
     gives an empty result.
     """
-    return _ranked(index, _item_terms(items, id_column, text_column), k)
+    with frugal(index.sparkSession):
+        return _ranked(index, *_item_terms(items, id_column, text_column), k)
 
 
-def _item_terms(items: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(item_id, term), distinct and written."""
+def _item_terms(items: DataFrame, id_column: str, text_column: str) -> tuple[DataFrame, DataFrame]:
+    """(item_id, item), a number for each item, and (item, term), distinct; both written."""
     text = F.translate(F.coalesce(F.col(text_column).cast("string"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    terms = F.explode(F.split(text, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")).alias("term")
-    named = items.where(F.col(id_column).isNotNull()).select(F.col(id_column).alias("item_id"), terms)
-    return materialize(named.where("term <> ''").distinct(), "search_items")
+    named = items.where(F.col(id_column).isNotNull()).select(F.col(id_column).alias("item_id"), text.alias("text"))
+    numbers = materialize(named.select("item_id").distinct().withColumn("item", F.monotonically_increasing_id()), "search_items")
+    terms = named.join(numbers, "item_id").select("item", F.explode(F.split("text", r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")).alias("term"))
+    return numbers, materialize(terms.where("term <> ''").distinct(), "search_item_terms")
 
 
-def _ranked(index: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+def _ranked(index: DataFrame, numbers: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     total = index.where("n > 0").agg(F.count("*").alias("N"), F.coalesce(F.sum("n"), F.lit(0)).alias("L")).first()
     many, length = total["N"], max(1, total["L"])
 
@@ -97,35 +105,43 @@ def _ranked(index: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     found = each.join(wanted.select("term").distinct(), "term", "left_semi").withColumn("m", m)
     postings = materialize(found.select("term", "row", "id", F.expr("(1000000000L * tf) div (1000L * tf + 8L * m)").alias("part")), "search_postings")
 
-    # each term's weight, largest impact and stored documents
+    # each term's weight, largest impact and stored impacts
     counts = postings.groupBy("term").agg(F.count("*").alias("df"), F.max("part").alias("most"))
     weight = F.floor(1000 * F.log(F.lit(2.0 * many + 2) / (2 * F.col("df") + 1))).cast("long")
-    weights = materialize(counts.withColumn("w", weight).where("w > 0").select("term", "w", (F.col("w") * F.col("most")).alias("most")), "search_weights")
-    stored = materialize(_best(postings.select("term", "row", "part"), "term", "part", ["row"], k).drop("rank"), "search_stored")
-    terms = materialize(wanted.join(weights, "term"), "search_item_terms")
+    weights = counts.withColumn("w", weight).where("w > 0").select("term", "w", (F.col("w") * F.col("most")).alias("most"))
+    stored = materialize(_best(postings.select("term", "row", "part"), "term", "part", ["row"], STORED * k).drop("rank"), "search_stored")
+    terms = materialize(wanted.join(weights, "term"), "search_terms")
 
     # seeds: the best documents by stored impacts alone, scored exactly; the k-th score is the item's threshold
-    sums = terms.join(stored, "term").groupBy("item_id", "row").agg(F.sum(F.col("w") * F.col("part")).alias("score"))
-    seeds = _scored(_best(sums, "item_id", "score", ["row"], k).select("item_id", "row"), terms, postings)
-    least = seeds.groupBy("item_id").agg(F.when(F.count("*") >= k, F.min("score")).otherwise(F.lit(1)).alias("threshold"))
-
-    # an item's terms by largest impact: those before the point from which the largest impacts sum to less than the threshold
-    upward = Window.partitionBy("item_id").orderBy("most", "term").rowsBetween(Window.unboundedPreceding, 0)
-    bounded = terms.join(least, "item_id").withColumn("suffix", F.sum("most").over(upward))
-    joined = F.col("suffix") >= F.col("threshold")
-    item = Window.partitionBy("item_id")
+    sums = terms.join(stored, "term").groupBy("item", "row").agg(F.sum(F.col("w") * F.col("part")).alias("score"))
+    least = _threshold(_scored(_best(sums, "item", "score", ["row"], SEEDS * k).select("item", "row"), terms, postings), k)
+
+    # an item's terms by largest impact: those before the point from which the largest impacts sum to less than a part of it
+    upward = Window.partitionBy("item").orderBy("most", "term").rowsBetween(Window.unboundedPreceding, 0)
+    bounded = terms.join(least, "item").withColumn("suffix", F.sum("most").over(upward))
+    joined = F.col("suffix") * PRUNED >= F.col("threshold")
+    item = Window.partitionBy("item")
     bounded = bounded.withColumn("rest", F.coalesce(F.sum(F.when(~joined, F.col("most"))).over(item), F.lit(0))).withColumn("others", F.sum("most").over(item) - F.col("most"))
-    essential = materialize(bounded.where(joined).select("item_id", "term", "w", "threshold", "rest", "others"), "search_essential")
+    essential = materialize(bounded.where(joined).select("item", "term", "w", "threshold", "rest", "others"), "search_essential")
 
-    # candidates by the essential terms alone, then exact scores over all terms
+    # candidates by the essential terms alone
     met = essential.join(postings.select("term", "row", "part"), "term").withColumn("impact", F.col("w") * F.col("part"))
-    some = met.where(F.col("impact") + F.col("others") >= F.col("threshold")).groupBy("item_id", "row").agg(F.sum("impact").alias("known"), F.first("rest").alias("rest"), F.first("threshold").alias("threshold"))
-    candidates = materialize(some.where(F.col("known") + F.col("rest") >= F.col("threshold")).select("item_id", "row"), "search_candidates")
-    final = _best(_scored(candidates, terms, postings).where("score > 0"), "item_id", "score", ["id", "row"], k)
-    return final.select("item_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias("doc_id"), "score")
+    known = met.where(F.col("impact") + F.col("others") >= F.col("threshold")).groupBy("item", "row").agg(F.sum("impact").alias("known"))
+    bounds = essential.select("item", "threshold", "rest").distinct()
+    candidates = materialize(known.join(bounds, "item").where(F.col("known") + F.col("rest") >= F.col("threshold")).select("item", "row"), "search_candidates")
+
+    # and exact scores over all terms
+    final = _best(_scored(candidates, terms, postings).where("score > 0"), "item", "score", ["id", "row"], k)
+    return final.join(numbers, "item").select("item_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias("doc_id"), "score")
+
+
+def _threshold(scores: DataFrame, k: int) -> DataFrame:
+    """(item, threshold): the k-th score of each item, 1 if it has fewer."""
+    best = _best(scores, "item", "score", ["row"], k)
+    return materialize(best.groupBy("item").agg(F.when(F.count("*") >= k, F.greatest(F.min("score"), F.lit(1))).otherwise(F.lit(1)).alias("threshold")), "search_thresholds")
 
 
 def _scored(pairs: DataFrame, terms: DataFrame, postings: DataFrame) -> DataFrame:
     """Exact scores of pairs of an item and a row, over all of the item's terms."""
-    each = pairs.join(terms.select("item_id", "term", "w"), "item_id").join(postings, ["term", "row"])
-    return each.groupBy("item_id", "row").agg(F.first("id").alias("id"), F.sum(F.col("w") * F.col("part")).alias("score"))
+    each = pairs.join(terms.select("item", "term", "w"), "item").join(postings, ["term", "row"])
+    return each.groupBy("item", "row").agg(F.first("id").alias("id"), F.sum(F.col("w") * F.col("part")).alias("score"))

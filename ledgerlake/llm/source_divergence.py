@@ -23,14 +23,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.terms import LETTERS, count_terms, strings
-from ledgerlake.storage import materialize
+from ledgerlake.storage import frugal, materialize
 
 #: Distinct terms by source that a task holds before it sends their counts on.
 HELD = 300_000
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, source, term, uses, docs) of (lang, source, text): sums of some rows. A null term stands for a group seen."""
+    """(lang, source, term, uses, docs) of (lang, source, text): sums of some rows."""
     uses: dict[tuple[str, str], Counter[bytes]] = defaultdict(Counter)
     docs: dict[tuple[str, str], Counter[bytes]] = defaultdict(Counter)
     held = 0
@@ -43,10 +43,6 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 some = terms[at : at + 100_000]
                 n = len(some)
                 yield pa.record_batch([pa.array([lang] * n, pa.string()), pa.array([source] * n, pa.string()), strings(some), pa.array([found[t] for t in some], pa.int64()), pa.array([there[t] for t in some], pa.int64())], ["lang", "source", "term", "uses", "docs"])
-        groups = list(uses)
-        if groups:
-            none = pa.array([0] * len(groups), pa.int64())
-            yield pa.record_batch([pa.array([g[0] for g in groups], pa.string()), pa.array([g[1] for g in groups], pa.string()), pa.nulls(len(groups), pa.string()), none, none], ["lang", "source", "term", "uses", "docs"])
 
     for batch in batches:
         for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
@@ -64,10 +60,13 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
+def _filled(name: str) -> Column:
+    return F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name)
+
+
 def term_counts_by_source(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, uses, docs): occurrences of a term and documents that hold it; a null term for each group."""
-    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    some = docs.select(text("lang").alias("lang"), text("source").alias("source"), text("text").alias("text")).mapInArrow(_counted, "lang string, source string, term string, uses long, docs long")
+    """(lang, source, term, uses, docs): occurrences of a term and documents that hold it."""
+    some = docs.select(_filled("lang"), _filled("source"), _filled("text")).mapInArrow(_counted, "lang string, source string, term string, uses long, docs long")
     return some.groupBy("lang", "source", "term").agg(F.sum("uses").alias("uses"), F.sum("docs").alias("docs"))
 
 
@@ -90,15 +89,19 @@ def source_divergence(docs: DataFrame, least_docs: int = 30, most_terms: int = 5
     Rows that repeat count each. A language with one source has no pairs. Other columns are ignored; an empty table gives an
     empty result.
     """
-    counts = materialize(term_counts_by_source(docs), "divergence_counts")
-    there = counts.where("term IS NOT NULL")
-    kept = there.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("uses").alias("all")).where(F.col("docs") >= least_docs)
-    kept = materialize(kept.select("lang", "term", "all"), "divergence_kept")
+    with frugal(docs.sparkSession):
+        return _audited(docs, least_docs, most_terms)
+
+
+def _audited(docs: DataFrame, least_docs: int, most_terms: int) -> DataFrame:
+    # one wide row for each kept term: its counts by source
+    counts = term_counts_by_source(docs).groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("uses").alias("all"), F.collect_list(F.struct("source", "uses")).alias("by_source"))
+    kept = materialize(counts.where(F.col("docs") >= least_docs).select("lang", "term", "all", "by_source"), "divergence_kept")
+    used = kept.select("lang", "term", "all", F.explode("by_source").alias("u")).select("lang", "term", "all", "u.source", "u.uses")
 
     # a number for each source within its language
     place = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
-    groups = counts.where("term IS NULL").select("lang", "source").withColumn("at", place.cast("int"))
-    used = there.join(kept, ["lang", "term"])
+    groups = docs.select(_filled("lang"), _filled("source")).distinct().withColumn("at", place.cast("int"))
     totals = used.groupBy("lang", "source").agg(F.sum("uses").alias("total"))
     sizes = kept.groupBy("lang").agg(F.count("*").alias("V"), F.sum("all").alias("lang_total"))
     groups = groups.join(totals, ["lang", "source"], "left").join(sizes, "lang", "left")
@@ -106,7 +109,7 @@ def source_divergence(docs: DataFrame, least_docs: int = 30, most_terms: int = 5
     groups = groups.withColumn("total", total).withColumn("V", terms).withColumn("none", F.when(F.col("V") > 0, _share(F.lit(0).cast("long"), total, terms)))
     groups = materialize(groups, "divergence_groups")
 
-    # one wide row for each kept term: (place, p) of the sources that use it, and the p of its language
+    # the same rows with shares in place of counts: (place, p) of the sources that use a term, and the p of its language
     share = _share(F.col("uses"), F.col("total"), F.col("V"))
     shares = used.join(groups.select("lang", "source", "at", "total", "V", "lang_total"), ["lang", "source"]).withColumn("p", share).withColumn("q", _share(F.col("all"), F.col("lang_total"), F.col("V")))
     shares = materialize(shares.select("lang", "source", "at", "term", "p", "q"), "divergence_shares")

@@ -202,12 +202,11 @@ def test_divergence_counts_in_parts(spark, monkeypatch):
 
     monkeypatch.setattr(sources, "HELD", 2)
     batch = pa.record_batch([pa.array(["a", "a", "b"]), pa.array(["s", "s", ""]), pa.array(["x y x", "x z", None])], ["lang", "source", "text"])
-    uses, docs, groups = Counter(), Counter(), set()
+    uses, docs = Counter(), Counter()
     for r in (r for b in sources._counted(iter([batch])) for r in b.to_pylist()):
-        groups.add((r["lang"], r["source"])) if r["term"] is None else None
         uses[r["lang"], r["source"], r["term"]] += r["uses"]
         docs[r["lang"], r["source"], r["term"]] += r["docs"]
-    assert groups == {("a", "s"), ("b", "")} and +uses == Counter({("a", "s", "x"): 3, ("a", "s", "y"): 1, ("a", "s", "z"): 1}) and docs["a", "s", "x"] == 2
+    assert uses == Counter({("a", "s", "x"): 3, ("a", "s", "y"): 1, ("a", "s", "z"): 1}) and docs["a", "s", "x"] == 2
 
 
 def test_shares_beyond_64_bits(spark):
