@@ -224,40 +224,54 @@ def cap_share(x: Column, full: float) -> Column:
     return F.least(x.cast("double") / F.lit(float(full)), F.lit(1.0))
 
 
-# Weights of the scores. Each term is (weight, measure, kind, full value).
+# The scores by number, each as its scale, its terms (weight, measure, kind, full value) and their order.
 SCORES = {
-    "council": [(35, "visits", "cap", 10), (25, "months", "cap", 5), (20, "roles", "cap", 2), (10, "evening", "ratio", 0), (10, "spend", "cap", 3e6)],
-    "destination": [(25, "outside", "cap", 1), (45, "visits", "log", 10), (15, "roles", "cap", 4), (10, "months", "cap", 5), (5, "evening", "ratio", 0)],
-    "central": [(22, "visits", "log", 10), (13, "roles", "cap", 5), (15, "months", "cap", 6), (15, "institutions", "cap", 4), (20, "weight", "cap", 1), (10, "senior", "cap", 1), (5, "spend", "log", 5e6)],
-    "province": [(35, "visits", "log", 20), (35, "departments", "log", 12), (18, "months", "cap", 8), (12, "spend", "log", 8e6)],
-    "city_council": [(30, "visits", "log", 10), (18, "roles", "cap", 4), (20, "months", "cap", 6), (22, "weight", "cap", 1), (10, "spend", "log", 5e6)],
-    "justice": [(25, "visits", "log", 8), (15, "months", "cap", 6), (10, "roles", "cap", 5), (25, "weight", "cap", 1), (15, "high", "cap", 1), (10, "spend", "log", 3e6)],
-    "enterprise": [(45, "visits", "log", 8), (25, "months", "cap", 6), (20, None, "one", 0), (10, "spend", "log", 3e6)],
-    "city_executive": [(35, "visits", "log", 15), (30, "departments", "log", 8), (15, "months", "cap", 8), (10, "spend", "log", 5e6), (10, "evening", "ratio", 0)],
-    "city_destination": [(50, "place", "cap", 1), (20, "visits", "log", 8), (15, "departments", "log", 6), (10, "months", "cap", 6), (5, "evening", "ratio", 0)],
-    "legislator": [(30, "visits", "log", 200), (40, "members", "log", 80), (18, "months", "cap", 12), (12, "spend", "log", 5e7)],
-    "prosecution": [(55, "visits", "log", 25), (25, "actors", "cap", 3), (20, "spend", "log", 1.5e7)],
-    "consensus": [(35, "institutions", "log", 4), (20, "sources", "log", 4), (25, "events", "log", 20), (20, "cohorts", "cap", 3)],
+    # S1
+    "council": (1, [(35, "visits", "cap", 10), (25, "months", "cap", 5), (20, "roles", "cap", 2), (10, "evening", "ratio", 0), (10, "spend", "cap", 3e6)]),
+    # S2
+    "destination": (100, [(0.25, "outside", "cap", 1), (0.45, "visits", "log", 10), (0.15, "roles", "cap", 4), (0.10, "months", "cap", 5), (0.05, "evening", "ratio", 0)]),
+    # S3
+    "central": (100, [(0.22, "visits", "log", 10), (0.13, "roles", "cap", 5), (0.15, "months", "cap", 6), (0.15, "institutions", "cap", 4), (0.20, "weight", "cap", 1), (0.10, "senior", "cap", 1), (0.05, "spend", "log", 5e6)]),
+    # S4
+    "gyeonggi": (100, [(0.35, "visits", "log", 20), (0.35, "departments", "log", 12), (0.18, "months", "cap", 8), (0.12, "spend", "log", 8e6)]),
+    # S5
+    "incheon": (100, [(0.30, "visits", "log", 10), (0.18, "roles", "cap", 4), (0.20, "months", "cap", 6), (0.22, "weight", "cap", 1), (0.10, "spend", "log", 5e6)]),
+    # S6
+    "justice": (100, [(0.25, "visits", "log", 8), (0.15, "months", "cap", 6), (0.10, "roles", "cap", 5), (0.25, "weight", "cap", 1), (0.15, "high", "cap", 1), (0.10, "spend", "log", 3e6)]),
+    # S7
+    "enterprise": (100, [(0.45, "visits", "log", 8), (0.25, "months", "cap", 6), (0.20, None, "one", 0), (0.10, "spend", "log", 3e6)]),
+    # S8
+    "seoul_executive": (100, [(0.35, "visits", "log", 15), (0.30, "departments", "log", 8), (0.15, "months", "cap", 8), (0.10, "spend", "log", 5e6), (0.10, "evening", "ratio", 0)]),
+    # S9
+    "seoul_destination": (100, [(0.50, "place", "cap", 1), (0.20, "visits", "log", 8), (0.15, "departments", "log", 6), (0.10, "months", "cap", 6), (0.05, "evening", "ratio", 0)]),
+    # S10
+    "legislator": (100, [(0.30, "visits", "log", 200), (0.40, "members", "log", 80), (0.18, "months", "cap", 12), (0.12, "spend", "log", 5e7)]),
+    # S11
+    "prosecution": (100, [(0.55, "visits", "log", 25), (0.25, "actors", "cap", 3), (0.20, "spend", "log", 1.5e7)]),
+    # S12
+    "consensus": (100, [(0.35, "institutions", "log", 4), (0.20, "sources", "log", 4), (0.25, "events", "log", 20), (0.20, "cohorts", "cap", 3)]),
 }
 
 
 def score(name: str, columns: dict[str, Column | str] | None = None) -> Column:
     """A score of 0 to 100 to one decimal, half to even, from the measures' columns (by default of the same name)."""
     columns = columns or {}
+    scale, terms = SCORES[name]
     total = F.lit(0.0)
-    for weight, measure, kind, full in SCORES[name]:
+    for weight, measure, kind, full in terms:
         x = columns.get(measure, measure)
         x = F.col(x) if isinstance(x, str) else x
         term = {"cap": lambda: cap_share(x, full), "log": lambda: log_share(x, full), "ratio": lambda: share(x, F.col("visits") if "visits" not in columns else F.col(columns["visits"])), "one": lambda: F.lit(1.0)}[kind]()
         total = total + F.lit(float(weight)) * term
-    return F.bround(F.least(total, F.lit(100.0)), 1)
+    return F.bround(F.least(F.lit(float(scale)) * total, F.lit(100.0)), 1)
 
 
 def score_sql(name: str, columns: dict[str, str] | None = None) -> str:
     """The same score as SQL text, for checks in another engine."""
     columns, terms = columns or {}, []
-    for weight, measure, kind, full in SCORES[name]:
+    scale, of = SCORES[name]
+    for weight, measure, kind, full in of:
         x = f"CAST({columns.get(measure, measure)} AS DOUBLE)"
         term = {"cap": f"least({x} / CAST({full} AS DOUBLE), 1.0::DOUBLE)", "log": f"least(ln(1.0::DOUBLE + greatest({x}, 0)) / ln(1.0::DOUBLE + CAST({full} AS DOUBLE)), 1.0::DOUBLE)", "ratio": f"coalesce({x} / nullif(CAST({columns.get('visits', 'visits')} AS DOUBLE), 0), 0.0::DOUBLE)", "one": "1.0::DOUBLE"}[kind]
         terms.append(f"CAST({weight} AS DOUBLE) * {term}")
-    return f"round_even(least(0.0::DOUBLE + {' + '.join(terms)}, 100.0::DOUBLE), 1)"
+    return f"round_even(least({float(scale)}::DOUBLE * (0.0::DOUBLE + {' + '.join(terms)}), 100.0::DOUBLE), 1)"

@@ -17,6 +17,8 @@ ROAD = r"^(.+?(?:대로|로|길)\s*\d+(?:-\d+)?)(?:$|[^0-9A-Za-z_가-힣])"
 LOT = r"^(.+?[가-힣0-9]+동\s*\d+(?:-\d+)?)(?:$|[^0-9A-Za-z_가-힣])"
 LOCALITY = r"([가-힣0-9]+(?:시|군|구))(?:$|[^0-9A-Za-z_가-힣])"
 BROAD_ORIGINS = ["서울시청", "경기도청", "인천시청", "중앙정부"]
+# Fixed value: a name with a bracket at its end.
+NAME_AND_BRACKET = r"^(.*?)[（(]([^()（）]+)[)）]\s*$"
 ADDRESS_WORDS = ["서울", "경기", "인천", "부산", "대구", "대전", "광주", "울산", "세종", "강원", "충북", "충남", "전북", "전남", "경북", "경남", "제주", "구 ", "시 ", "군 ", "로 ", "길 ", "동 ", "대로"]
 
 
@@ -92,8 +94,7 @@ def rejoin_spaced(c: Column | str) -> Column:
 def split_place(c: Column | str) -> Column:
     """struct(name, address): a bracket at the end is the address if it has a word of an address."""
     s = text(c)
-    pattern = r"^(.*?)[（(]([^()（）]+)[)）]\s*$"
-    name, hint = text(F.regexp_extract(s, pattern, 1)), text(F.regexp_extract(s, pattern, 2))
+    name, hint = text(F.regexp_extract(s, NAME_AND_BRACKET, 1)), text(F.regexp_extract(s, NAME_AND_BRACKET, 2))
     found = reduce(lambda a, b: a | b, (F.contains(hint, F.lit(w)) for w in ADDRESS_WORDS))
     return F.struct(F.when(found, F.coalesce(_or_empty(name), s)).otherwise(s).alias("name"), F.when(found, hint).otherwise("").alias("address"))
 

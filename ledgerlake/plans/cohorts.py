@@ -187,7 +187,10 @@ def location_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows(spark, sf_dir).select("k", R.city_address(a).alias("address"), R.city_district(a).alias("district"), b["bucket"].alias("bucket"), b["weight"].alias("weight"))
 
 
-@query(f"WITH {_ROWS} SELECT k, CASE {' '.join(f'WHEN {any_sql(chr(109) + chr(101) + chr(114) + chr(99) + chr(104) + chr(97) + chr(110) + chr(116), words)} THEN {chr(39)}{label}{R.CATEGORY_GUESSED}{chr(39)}' for words, label in R.CATEGORIES)} ELSE '{R.CATEGORY_OPEN}' END AS category FROM o")
+_MERCHANT = "merchant"
+
+
+@query(f"WITH {_ROWS} SELECT k, CASE {' '.join(f'WHEN {any_sql(_MERCHANT, words)} THEN {chr(39)}{label}{R.CATEGORY_GUESSED}{chr(39)}' for words, label in R.CATEGORIES)} ELSE '{R.CATEGORY_OPEN}' END AS category FROM o")
 def kitchen_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kinds of kitchen by the sixteen ordered rules."""
     return _rows(spark, sf_dir).select("k", R.category_of(F.col("merchant")).alias("category"))

@@ -61,8 +61,8 @@ def city_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ELIGIBLE = {
-    "central": "visits >= 2 AND months >= 2 AND score_central >= 35", "province": "visits >= 3 AND departments >= 2 AND months >= 2 AND score_province >= 35", "city_council": "visits >= 3 AND months >= 2 AND score_city_council >= 45",
-    "justice": "visits >= 2 AND months >= 1 AND score_justice >= 40", "enterprise": "visits >= 1 AND score_enterprise >= 35", "legislator": "visits >= 3 AND members >= 2 AND months >= 2 AND score_legislator >= 35", "city_executive": "visits >= 3 AND months >= 2 AND departments >= 2 AND score_city_executive >= 30",
+    "central": "visits >= 2 AND months >= 2 AND score_central >= 35", "gyeonggi": "visits >= 3 AND departments >= 2 AND months >= 2 AND score_gyeonggi >= 35", "incheon": "visits >= 3 AND months >= 2 AND score_incheon >= 45",
+    "justice": "visits >= 2 AND months >= 1 AND score_justice >= 40", "enterprise": "visits >= 1 AND score_enterprise >= 35", "legislator": "visits >= 3 AND members >= 2 AND months >= 2 AND score_legislator >= 35", "seoul_executive": "visits >= 3 AND months >= 2 AND departments >= 2 AND score_seoul_executive >= 30",
 }
 _USED = {"departments": "institutions", "members": "institutions", "weight": "high", "senior": "high"}
 

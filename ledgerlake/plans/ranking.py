@@ -34,7 +34,7 @@ def candidate_rank_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(scored, [F.desc("score"), F.desc("visits"), F.col("merchant"), F.col("address")], TOP)
 
 
-_LOG = ["central", "province", "city_council", "justice", "enterprise", "city_executive", "city_destination", "legislator", "prosecution", "destination"]
+_LOG = ["central", "gyeonggi", "incheon", "justice", "enterprise", "seoul_executive", "seoul_destination", "legislator", "prosecution", "destination"]
 #: Measures of the transaction view that stand for those of the scores.
 _STAND_IN = {"departments": "institutions", "members": "customers", "actors": "roles", "weight": "high_share", "senior": "senior_share", "high": "high_share", "outside": "high_share", "place": "high_share"}
 
@@ -118,11 +118,11 @@ def evidence_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged_evidence(_records(spark, sf_dir), ["family"]).withColumn("origins", F.array_join("origins", ","))
 
 
-@query(f"""WITH {TX}, {_RECORDS}, s AS (SELECT *, {score_sql('province', {'departments': 'institutions'})} AS score FROM r)
+@query(f"""WITH {TX}, {_RECORDS}, s AS (SELECT *, {score_sql('gyeonggi', {'departments': 'institutions'})} AS score FROM r)
     SELECT family, arg_min(origin, (-score, origin)) AS origin, max(score) AS score, sum(visits)::BIGINT AS visits, sum(evening)::BIGINT AS evening FROM s GROUP BY family""")
 def signal_argmax_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The strongest record of each family, with summed counters."""
-    r = _records(spark, sf_dir).withColumn("score", score("province", {"departments": "institutions"}))
+    r = _records(spark, sf_dir).withColumn("score", score("gyeonggi", {"departments": "institutions"}))
     return merged_signal(r.select("family", "origin", "score", "visits", "evening"), ["family"], ["visits", "evening"], ["origin"])
 
 

@@ -65,8 +65,8 @@ def test_urls(spark):
 def test_scores(spark):
     df = spark.createDataFrame([(10, 5, 2, 10, 3_000_000), (0, 0, 0, 0, 0)], "visits long, months long, roles long, evening long, spend long")
     assert [r[0] for r in df.select(N.score("council")).collect()] == [100.0, 0.0]
-    for name, terms in N.SCORES.items():
-        assert sum(t[0] for t in terms) == 100, name
+    for name, (scale, terms) in N.SCORES.items():
+        assert round(scale * sum(t[0] for t in terms), 6) == 100, name
 
 
 def test_evening_and_html(spark):

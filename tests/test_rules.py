@@ -7,7 +7,7 @@ from ledgerlake.functions import rules as R
 from ledgerlake.operators import publication as P
 from ledgerlake.operators import review as V
 from ledgerlake.sources import workbooks
-from ledgerlake.sources.paged import PagedReader
+from ledgerlake.sources.paged import PagedReader, Pages
 from ledgerlake.streaming import arrivals
 
 
@@ -78,7 +78,7 @@ def test_placed_rows(spark):
 def test_pages_until_a_short_one(tmp_path):
     for k, n in ((1, 2), (2, 2), (3, 1)):
         (tmp_path / f"p{k}.json").write_text('{"rows": [%s]}' % ", ".join("1" * n))
-    reader = PagedReader({"url": f"file://{tmp_path}/p{{page}}.json", "size": 2})
+    reader = PagedReader(Pages({"url": f"file://{tmp_path}/p{{page}}.json", "size": 2}))
     assert [page for part in reader.partitions() for page, _ in reader.read(part)] == [1, 1, 2, 2, 3]
 
 
