@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.numbers import to_date
 from ledgerlake.functions.text import ladder, text
 from ledgerlake.functions.web import trusted
+from ledgerlake.operators.gates import GateError
 from ledgerlake.operators.merging import content_hash, first_wins
-from ledgerlake.operators.ranking import first_mode, top_values
+from ledgerlake.operators.ranking import first_mode, top_k, top_values
 
 # The cohorts' thresholds, over their measures and the score of the same name.
 ELIGIBLE = {
@@ -90,6 +91,14 @@ def enrichment_priority(lacks: dict[str, Column], signal: Column, visits: Column
     return F.bround(gaps + signal * 0.65 + F.least(visits, F.lit(50)) * 1.5 + F.least(institutions, F.lit(5)) * 9, digits)
 
 
+def approved(graded: DataFrame, passes: Column, order: list[Column], most: int = 80, least: int = LEAST_APPROVED) -> DataFrame:
+    """The first `most` rows that pass; raises GateError if fewer than `least` do."""
+    found = top_k(graded.where(passes), order, most)
+    if (n := found.count()) < min(least, most):
+        raise GateError(f"{n} approved rows of {least} at least")
+    return found
+
+
 def without_known(df: DataFrame, known: DataFrame, blocked: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """df without rows whose key is known or blocked; of rows with one key the first by order. Keys are compared trimmed."""
     flat = lambda t: t.select(*(F.trim(F.coalesce(F.col(k).cast("string"), F.lit(""))).alias(f"_{k}") for k in key)).distinct()

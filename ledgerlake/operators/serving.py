@@ -11,10 +11,12 @@ from ledgerlake.operators.ranking import top_k
 #: What each mode lets through.
 MODES = {
     "all": "true", "both": "type = 'both'", "destination": "type IN ('destination', 'both')", "executive": "type IN ('executive', 'both')", "consensus": "is_cross",
-    "cross_origin": "sources >= 2", "top_official": "top_official_visits > 0",
+    "cross_origin": "sources >= 2", "top_official": "top_official_visits > 0", "regional_head": "regional_head_visits > 0",
 }
 #: Columns of each sort order; a minus sign is for descending. The name and the id end every order.
-ORDERS = {"signal": ["-score"], "visits": ["-visits"], "spend": ["-spend"], "name": [], "institutions": ["-institutions", "-score"], "recent": ["-date_max"], "consensus": ["-consensus", "-score"], "top_official": ["-top_official_visits", "-score"]}
+ORDERS = {"signal": ["-score"], "visits": ["-visits"], "spend": ["-spend"], "name": [], "institutions": ["-institutions", "-score"], "recent": ["-date_max"], "consensus": ["-consensus", "-score"], "top_official": ["-top_official_visits", "-score"], "regional_head": ["-regional_head_visits", "-score"]}
+#: The language whose order of letters ends ties of names.
+LOCALE = "ko"
 
 
 def searched(df: DataFrame, fields: list[str], mode: str = "all", text: str = "", origin: str | None = None) -> DataFrame:
@@ -25,8 +27,9 @@ def searched(df: DataFrame, fields: list[str], mode: str = "all", text: str = ""
     return rows.where(F.contains(F.lower(F.concat_ws(" ", *fields)), F.lit(text.lower()))) if text else rows
 
 
-def sort_order(name: str, key: str = "id") -> list[Column]:
-    return [F.desc_nulls_last(c[1:]) if c[0] == "-" else F.asc(c) for c in [*ORDERS[name], "name", key]]
+def sort_order(name: str, key: str = "id", locale: str = LOCALE) -> list[Column]:
+    """The columns of a sort order, then the name in a language's order of letters, then the key."""
+    return [*(F.desc_nulls_last(c[1:]) if c[0] == "-" else F.asc(c) for c in ORDERS[name]), F.collate(F.col("name"), locale).asc(), F.asc(key)]
 
 
 def looked_up(df: DataFrame, text: str, name: str, others: list[str], key: str, k: int = 10) -> DataFrame:

@@ -162,3 +162,9 @@ def compact_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 4 != 0, F.concat(F.lit(" "), "c_name")).alias("name"), F.when(k % 5 != 0, F.col("c_nationkey")).alias("visits"), F.when(k % 7 != 0, F.col("c_acctbal")).alias("score"),
     )
     return rows.select("c_custkey", *E.compact_record({"origins": "origin"}, ["name"], ["visits"], ["score"])).withColumn("origins", F.array_join("origins", ","))
+
+
+@query("""SELECT s_suppkey, row_number() OVER (ORDER BY s_acctbal DESC, s_suppkey)::INT AS rank FROM supplier WHERE s_acctbal > 0 QUALIFY rank <= 80""")
+def approved_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 80 suppliers with the highest balance above nothing; fewer than five would be no release."""
+    return E.approved(table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal"), F.col("s_acctbal") > 0, [F.desc("s_acctbal"), F.col("s_suppkey")], least=5).select("s_suppkey", "rank")

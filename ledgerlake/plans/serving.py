@@ -12,7 +12,7 @@ from ledgerlake.storage import materialize
 from ledgerlake.streaming.arrivals import within_lookback
 
 _P = """p AS (SELECT family || ' ' || branch AS name, address, min(orderkey) AS id, min(origin) AS origin, count(*) AS visits, sum(amount)::BIGINT AS spend, count(*) + sum(people)::BIGINT AS score, count(DISTINCT institution) AS institutions,
-    count(DISTINCT origin) AS sources, max(used_date) AS date_max, count(DISTINCT cohort) * count(DISTINCT institution) AS consensus, count(*) FILTER (tier = 1) AS top_official_visits, count(DISTINCT institution) >= 2 AS is_cross,
+    count(DISTINCT origin) AS sources, max(used_date) AS date_max, count(DISTINCT cohort) * count(DISTINCT institution) AS consensus, count(*) FILTER (tier = 1) AS top_official_visits, count(*) FILTER (tier = 2) AS regional_head_visits, count(DISTINCT institution) >= 2 AS is_cross,
     CASE WHEN max(tier) <= 3 THEN 'executive' WHEN min(tier) >= 3 THEN 'destination' ELSE 'both' END AS type FROM tx GROUP BY ALL)"""
 
 
@@ -21,7 +21,7 @@ def published(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transactions(spark, sf_dir).groupBy(F.concat_ws(" ", "family", "branch").alias("name"), "address").agg(
         F.min("orderkey").alias("id"), F.min("origin").alias("origin"), F.count("*").alias("visits"), F.sum("amount").alias("spend"), (F.count("*") + F.sum("people")).alias("score"),
         few("institution").alias("institutions"), few("origin").alias("sources"), F.max("used_date").alias("date_max"), (few("cohort") * few("institution")).alias("consensus"),
-        F.count_if(F.col("tier") == 1).alias("top_official_visits"), (few("institution") >= 2).alias("is_cross"),
+        F.count_if(F.col("tier") == 1).alias("top_official_visits"), F.count_if(F.col("tier") == 2).alias("regional_head_visits"), (few("institution") >= 2).alias("is_cross"),
         F.when(F.max("tier") <= 3, "executive").when(F.min("tier") >= 3, "destination").otherwise("both").alias("type"),
     )
 
@@ -32,7 +32,7 @@ def site_filter_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return searched(published(spark, sf_dir), ["name", "address", "origin"], "cross_origin", "Red").select("name", "address", "type", "origin", "sources")
 
 
-_SORTS = " UNION ALL ".join(f"SELECT * FROM (SELECT '{n}' AS mode, row_number() OVER (ORDER BY {''.join(c[1:] + ' DESC, ' for c in cols)}name, id, address) AS rank, name, address FROM p) WHERE rank <= 50" for n, cols in ORDERS.items())
+_SORTS = " UNION ALL ".join(f"SELECT * FROM (SELECT '{n}' AS mode, row_number() OVER (ORDER BY {''.join(c[1:] + ' DESC, ' for c in cols)}name COLLATE ko, id, address) AS rank, name, address FROM p) WHERE rank <= 50" for n, cols in ORDERS.items())
 
 
 @query(f"WITH {TX}, {_P} {_SORTS}")

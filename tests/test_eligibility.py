@@ -5,6 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import eligibility as E
+from ledgerlake.operators.gates import GateError
 
 
 @pytest.mark.parametrize(("change", "valid"), [
@@ -66,3 +67,10 @@ def test_priorities(spark):
     assert got == round(22 * math.log1p(9) + 14 * 5 + 0 + 36 + 2 * math.log1p(2.5) + 18 + 5, 2)
     lacks = {"address": F.lit(True), "category": F.lit(False), "phone": F.lit(True), "url": F.lit(False)}
     assert one.select(E.enrichment_priority(lacks, F.lit(50.0), F.lit(80), F.lit(9)).alias("v")).first().v == 45 + 32.5 + 75 + 45
+
+
+def test_approved_has_a_floor(spark):
+    df = spark.range(60)
+    assert E.approved(df, F.col("id") >= 10, [F.col("id")], most=80).count() == 50
+    with pytest.raises(GateError):
+        E.approved(df, F.col("id") >= 11, [F.col("id")], most=80)
