@@ -40,7 +40,8 @@ def merged_profiles(rows: DataFrame, by: list[str], entity: str, order: list[Col
     events, and which rows it rests on, each as a small table joined by entity.
 
     rows: by (which holds the entity), role, purpose, amount, people, used_date, row. Purposes go by count, ties by
-    text. A group's rows are counted before they are listed; only the cut lists are collected."""
+    text. A group's rows are counted before they are listed; purposes and latest rows are cut before they are collected, all
+    roles of a group are (a rule table bounds them)."""
     base = rows.groupBy(*by).agg(F.count("*").alias("visits"), F.sum("amount").alias("spend"), F.sum("people").alias("people"), F.min("used_date").alias("date_min"), F.max("used_date").alias("date_max"), F.count_distinct("row").alias("source_rows"))
     base = base.withColumn("per_head", F.bround(share(F.col("spend"), F.col("people"))).cast("bigint"))
     roles = rows.groupBy(*by, "role").agg(F.count("*").alias("v"), F.sum("amount").alias("s")).groupBy(*by).agg(F.array_sort(F.collect_list(F.struct((-F.col("v")).alias("v"), (-F.col("s")).alias("s"), "role"))).alias("_r"))
@@ -132,6 +133,7 @@ def integrity(old: DataFrame, new: DataFrame, by: list[str], key: list[str], col
         F.count("_a").alias("old_rows"), F.count("_b").alias("current_rows"), F.count_if(F.col("_b").isNull()).alias("lost"),
         F.count_if(F.col("_a") != F.col("_b")).alias("changed"), F.count_if(F.col("_a").isNull()).alias("added"),
     )
+    # fixed values: the labels of failures
     failures = F.array_compact(F.array(F.when(F.col("lost") > 0, "historical_rows_removed"), F.when(F.col("changed") > 0, "historical_rows_modified"), F.when(F.col("current_rows") == 0, "missing_ingested_official_rows_or_files")))
     return n.withColumn("failures", F.array_join(F.array_sort(failures), ",")).withColumn("status", F.when(F.size(failures) == 0, "PASS").otherwise("HOLD"))
 

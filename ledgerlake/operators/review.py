@@ -69,6 +69,7 @@ def licence_matches(venues: DataFrame, licences: DataFrame) -> DataFrame:
     v = venues.join(named, ["name_key", "address_key"], "left").join(housed, ["name_key", "building"], "left").join(neighbours, "building", "left")
     n, nb = F.when(F.col("address_key") != "", F.coalesce("n", F.lit(0))).otherwise(0), F.coalesce("nb", F.lit(0))
     pool = F.when(n > 0, n).otherwise(nb)
+    # fixed values: the labels of matches, here and below
     status = ladder([(n == 1, "EXACT_NAME_AND_ADDRESS"), (nb == 1, "NAME_AND_BUILDING_ADDRESS_FLOOR_UNVERIFIED"), (pool > 1, "AMBIGUOUS_LICENSE_RECORDS")], "NOT_MATCHED")
     licence = F.when(pool == 1, F.when(n > 0, F.col("l")).otherwise(F.col("lb")))
     return v.select("venue", status.alias("status"), licence.alias("licence"), F.coalesce("neighbours", F.lit(0)).alias("neighbours"))
@@ -135,6 +136,7 @@ def strict_assessment(rows: DataFrame, by: list[str], row_id: str, valid: Column
     n = rows.groupBy(*by).agg(F.count("*").alias("rows"), F.count_if(valid).alias("verified_rows"), F.count_distinct(row_id).alias("_ids"))
     j = n.join(files, by, "left")
     none = F.coalesce("verified", F.lit(0)) == 0
+    # fixed values: the labels of failures
     failures = F.array_compact(F.array(
         F.when(none, "missing_official_posts_or_hashed_files"), F.when(F.coalesce("authorized", F.lit(0)) != F.coalesce("verified", F.lit(0)), "official_attachment_missing_parsed_file"),
         F.when(F.col("rows") < least, "insufficient_transaction_rows"), F.when(F.col("_ids") != F.col("rows"), "duplicate_or_missing_row_id"), F.when(F.col("verified_rows") != F.col("rows"), "date_amount_or_lineage_invalid_rows"),

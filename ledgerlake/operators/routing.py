@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.joins import longest_prefix
+from ledgerlake.storage import materialize
 
 # A registry entry of a whole province ends in this word, a locality that may stand alone in one of these.
 MAIN_OFFICE = "본청"
@@ -39,8 +40,9 @@ def route_addresses(df: DataFrame, address: str, registry: DataFrame, provinces:
     addresses without a route. Texts are routed once each, by equi-joins on the prefixes' lengths."""
     entries = localities(registry, provinces)
     text = F.regexp_replace(F.coalesce(F.col(address), F.lit("")), r"(?U)\s+", "")
-    texts = df.select(text.alias("_text")).distinct()
+    texts = materialize(df.select(text.alias("_text")).distinct(), "route_texts")
     known = longest_prefix(texts, provinces.select(F.col("alias").alias("prefix"), "label"), "_text").withColumn("_rest", F.substr("_text", F.length("prefix") + 1))
+    known = materialize(known, "route_known")
     whole = whole or []
     offices = registry.where(F.endswith("name", F.lit(MAIN_OFFICE))).select("name", "code", F.trim(F.regexp_replace("name", f"{MAIN_OFFICE}$", "")).alias("label")).where(F.col("label").isin(whole))
     of_whole = known.where(F.col("label").isin(whole) & (F.col("_rest") != "")).join(offices, "label").select("_text", "name", "code", F.lit("WHOLE_PROVINCE").alias("reason"))

@@ -9,7 +9,7 @@ from ledgerlake.operators.components import connected_components
 from ledgerlake.operators.joins import close_pairs
 from ledgerlake.operators.markers import ring_layout
 from ledgerlake.operators.quotas import shared_quota
-from ledgerlake.operators.ranking import global_rank
+from ledgerlake.operators.ranking import global_rank, top_values
 from ledgerlake.operators.routing import route_addresses
 from ledgerlake.operators.sheets import transactions_of
 from ledgerlake.plans.registry import query, table
@@ -28,7 +28,7 @@ def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entries.select(F.concat("label", "locality").alias("name"), F.col("code").cast("long").alias("code")).unionByName(office)
 
 
-@query(f"""WITH {_PLACES},
+_ROUTES = f"""{_PLACES},
     a AS (SELECT c_custkey, r_name AS label, 'N' || (n_nationkey % 17) || '구' AS locality, c_custkey % 8 AS form, c_custkey % 5 AS more
         FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
     alone AS (SELECT locality, min(label) AS label, min(code) AS code FROM entry GROUP BY locality HAVING count(*) = 1),
@@ -38,11 +38,17 @@ def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
             WHEN form IN (0, 1, 2) THEN CASE WHEN more = 0 AND within IS NOT NULL THEN within ELSE plain END
             WHEN form = 3 THEN CASE WHEN more = 0 AND ua.code IS NOT NULL THEN ua.code ELSE u.code END END AS code,
         CASE WHEN form = 4 THEN 'MISSING_ADDRESS' END AS missing, form, x.label AS own
-        FROM inner_ x LEFT JOIN alone u ON u.locality = x.locality LEFT JOIN alone ua ON ua.locality = x.locality || '동구')
-    SELECT c_custkey, code::BIGINT AS route_code, CASE WHEN code = 999 THEN 'WHOLE_PROVINCE' WHEN code IS NOT NULL AND form = 3 THEN 'UNIQUE_LOCALITY' WHEN code IS NOT NULL THEN 'PROVINCE'
-        ELSE coalesce(missing, 'UNROUTABLE_JURISDICTION') END AS route_reason FROM r""")
+        FROM inner_ x LEFT JOIN alone u ON u.locality = x.locality LEFT JOIN alone ua ON ua.locality = x.locality || '동구')"""
+_REASON = "CASE WHEN code = 999 THEN 'WHOLE_PROVINCE' WHEN code IS NOT NULL AND form = 3 THEN 'UNIQUE_LOCALITY' WHEN code IS NOT NULL THEN 'PROVINCE' ELSE coalesce(missing, 'UNROUTABLE_JURISDICTION') END"
+
+
+@query(f"WITH {_ROUTES} SELECT c_custkey, code::BIGINT AS route_code, {_REASON} AS route_reason FROM r")
 def locality_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers' addresses routed: with a region and a locality, with a locality alone, and others that have no route."""
+    return _routed(spark, sf_dir).select("c_custkey", "route_code", "route_reason")
+
+
+def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = lambda name: table(spark, sf_dir, name)
     rows = t("customer").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     place = F.concat(F.lit("N"), F.col("n_nationkey") % 17, F.lit("구"), F.when(F.col("c_custkey") % 5 == 0, " 동구").otherwise(" "))
@@ -53,7 +59,21 @@ def locality_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).otherwise(F.concat(F.lit("X"), region, place))
     names = t("region").select(F.replace("r_name", F.lit(" ")).alias("label"))
     provinces = names.select("label", F.col("label").alias("alias")).unionByName(names.select("label", F.concat("label", F.lit("REGION")).alias("alias")))
-    return route_addresses(rows.select("c_custkey", address.alias("address")), "address", _registry(spark, sf_dir), provinces, ["ASIA"]).select("c_custkey", "route_code", "route_reason")
+    return route_addresses(rows.select("c_custkey", "c_mktsegment", address.alias("address")), "address", _registry(spark, sf_dir), provinces, ["ASIA"])
+
+
+@query(f"""WITH {_ROUTES}, o AS (SELECT c_mktsegment AS origin, code, {_REASON} AS reason, code IS NOT NULL AS routed FROM r JOIN customer USING (c_custkey)),
+    t AS (SELECT code::VARCHAR AS region, origin, count(*) AS n FROM o WHERE routed GROUP BY ALL)
+    SELECT 'region' AS part, region, string_agg(origin || ':' || n, ',' ORDER BY n DESC, origin) AS origins, sum(n)::BIGINT AS n FROM (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY region ORDER BY n DESC, origin) <= 3) GROUP BY region
+    UNION ALL SELECT 'unrouted', origin, reason, count(*) FROM o WHERE NOT routed GROUP BY origin, reason""")
+def routing_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three segments of each routed office with most customers, and by segment why others have no route."""
+    rows = _routed(spark, sf_dir)
+    best = top_values(rows.where("route_code IS NOT NULL").withColumn("region", F.col("route_code").cast("string")), ["region"], "c_mktsegment", 3)
+    lists = best.groupBy("region").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", F.concat_ws(":", "c_mktsegment", F.col("n").cast("string")).alias("t")))), lambda r: r["t"]), ",").alias("origins"), F.sum("n").alias("n"))
+    none = rows.where("route_code IS NULL").groupBy(F.col("c_mktsegment").alias("region"), F.col("route_reason").alias("origins")).agg(F.count("*").alias("n"))
+    tagged = lambda df, name: df.select(F.lit(name).alias("part"), "region", "origins", "n")
+    return tagged(lists, "region").unionByName(tagged(none, "unrouted"))
 
 
 @query("""WITH p AS (SELECT s_suppkey AS id, 37.5 + (s_suppkey // 4 * 7919 % 1000) * 0.0005 + (s_suppkey % 4) * 0.00004 AS lat, 127.0 + (s_suppkey // 4 * 104729 % 1000) * 0.0005 + CASE WHEN s_suppkey % 4 = 3 THEN 0.001 ELSE 0 END AS lon, s_name FROM supplier),

@@ -216,3 +216,14 @@ def plausible_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def compatibility_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names in lower-cased Unicode compatibility form; SQL has no such function."""
     return table(spark, sf_dir, "customer").select("c_custkey", compatibility_form(F.translate("c_name", "0123456789", "０１２３４５６７８９")).alias("name"))
+
+
+@query("""WITH u AS (SELECT page_id, 'https://' || split_part(split_part(url, '://', 2), '/', 1) AS site, CASE page_id % 6 WHEN 0 THEN '/a.PDF' WHEN 1 THEN '/bbs/fileDown.do' WHEN 2 THEN '/page' WHEN 3 THEN '/x/attach' WHEN 4 THEN '/bbsAttachDownload.do' ELSE '/s/download/list.js' END AS path, page_id % 4 AS q FROM pages)
+    SELECT page_id, CASE WHEN path IN ('/a.PDF', '/bbs/fileDown.do') OR (path = '/bbsAttachDownload.do' AND q <> 3) THEN site || path || CASE WHEN q = 3 THEN '' ELSE '?a=1&b=' || q END END AS canonical FROM u""")
+def attachment_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses of files on the pages' hosts, by endings and words of downloads; pages, scripts and bare routes are none."""
+    i = F.col("page_id")
+    site = F.concat(F.lit("https://"), F.substring_index(F.substring_index("url", "://", -1), "/", 1))
+    path = F.when(i % 6 == 0, "/a.PDF").when(i % 6 == 1, "/bbs/fileDown.do").when(i % 6 == 2, "/page").when(i % 6 == 3, "/x/attach").when(i % 6 == 4, "/bbsAttachDownload.do").otherwise("/s/download/list.js")
+    asked = F.when(i % 4 == 3, "?x#top").otherwise(F.concat(F.lit("?b="), (i % 4).cast("string"), F.lit("&amp;a=1&c=#top")))
+    return table(spark, sf_dir, "pages").select("page_id", attachment_url(F.concat(site, path, asked)).alias("canonical"))
