@@ -216,3 +216,15 @@ def test_shares_beyond_64_bits(spark):
 
 def test_base_rules_are_among_the_thresholds():
     assert set(BASE) <= set(RULES) and {r.part for r in rules.RULES} <= set(rules.COUNTS)
+
+
+# -- the labelled sample of operators 4 and 6
+
+def test_sample_has_one_row_for_each_id(spark):
+    """One id on 100,000 rows is one row of the sample, always the same."""
+    from ledgerlake.llm.quality import labelled_sample, sampled_texts
+
+    docs = spark.range(0, 100_000, 1, 8).select(F.lit(7).alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text")).unionByName(spark.createDataFrame([(8, None), (9, "a"), (9, "a")], "doc_id int, text string"))
+    sample = labelled_sample(spark.createDataFrame([(7, 1), (8, 0), (9, 1), (10, 1)], "doc_id long, quality int"), "quality", 3, 5, 100)
+    found = [sorted(map(tuple, sampled_texts(d, sample).collect())) for d in (docs, docs.repartition(5, "text"))]
+    assert found[0] == found[1] and [(i, y) for i, y, _ in found[0]] == [(7, 1.0), (8, 0.0), (9, 1.0)] and found[0][1][2] is None
