@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.llm.words import SPACES, mix, sequence_hashes, word_hashes
+from ledgerlake.llm.words import SPACES, mix, sequence_hashes, slices, word_hashes
 from ledgerlake.operators.components import connected_components
 from ledgerlake.storage import discard, frugal, materialize
 
@@ -80,19 +80,11 @@ def _prefixes(tokens: np.ndarray, percent: int) -> list[bytes]:
     return [_high_bytes(np.sort(mix(tokens ^ seed))[:p] << np.uint64(3), NARROW) for seed in SEEDS]
 
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
-    """The rows of batches in small ones, so that what is made of them stays small too; unused buffers go back at once."""
-    for batch in batches:
-        for at in range(0, len(batch), rows):
-            yield batch.slice(at, rows)
-        pa.default_memory_pool().release_unused()
-
-
 def _classes(size: int, percent: int):
     """Class and sizes of each text, and its packed indexed tokens unless this task has written them before."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in _slices(batches):
+        for batch in slices(batches):
             n, counted, rest, keys, low_out, high_out = [], [], [], [], [], []
             for text in batch.column(1):
                 tokens = tokens_of(text.as_py(), size)
@@ -111,7 +103,7 @@ def _classes(size: int, percent: int):
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(token, cls, zone): the indexed tokens of classes."""
-    for batch in _slices(batches):
+    for batch in slices(batches):
         tokens_out, class_out, zones = [], [], []
         for key, *parts in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
             for zone, part in enumerate(_set(data.as_buffer()) for data in parts):
@@ -123,7 +115,7 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _packed(size: int, percent: int):
     """The whole sets of wanted classes from their texts, with the prefixes under orders 2 and 3."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
+        for batch in slices(batches):
             keys, n, second, third, sets = [], [], [], [], []
             for wanted, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 tokens = tokens_of(text.as_py(), size)
@@ -137,7 +129,7 @@ def _packed(size: int, percent: int):
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(token, cls, zone): every token of packed sets."""
-    for batch in _slices(batches):
+    for batch in slices(batches):
         sets = [_set(x.as_buffer()) for x in batch.column(1)]
         if sets:
             size = np.array([len(x) for x in sets])
@@ -151,7 +143,7 @@ def _share_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         cut = lambda d: {d[i : i + NARROW] for i in range(0, len(d), NARROW)}
         return not cut(x).isdisjoint(cut(y))
 
-    for batch in _slices(batches):
+    for batch in slices(batches):
         cols = [batch.column(i).to_pylist() for i in range(2, 6)]
         keep = pa.array([meet(a2, b2) and meet(a3, b3) for a2, a3, b2, b3 in zip(*cols)], pa.bool_())
         yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(keep)
@@ -159,7 +151,7 @@ def _share_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def _compare(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
+        for batch in slices(batches):
             keep = []
             for x, y in zip(batch.column(2), batch.column(3)):
                 x, y = _set(x.as_buffer()), _set(y.as_buffer())

@@ -17,7 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.words import SPACES, mix, word_hashes
+from ledgerlake.llm.words import SPACES, give_back, mix, slices, word_hashes
+from ledgerlake.storage import frugal
 
 WORDS, SHAPES, DIMS, NONZERO = 8192, 256, 32, 2
 UNITS = WORDS + SHAPES
@@ -70,7 +71,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 docs, size = [], 0
         if docs:
             add(docs)
-        pa.default_memory_pool().release_unused()
+        give_back()
     there = np.flatnonzero(seen)
     yield pa.record_batch([pa.array(there), pa.array(list(total.reshape(UNITS, DIMS)[there]), pa.list_(pa.float64()))], ["unit", "vector"])
 
@@ -177,7 +178,7 @@ def _features(shared):
 def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors, net = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             x = np.array([features_of(text.as_py(), vectors) for text in batch.column(1)]).reshape(-1, FEATURES)
             yield pa.record_batch([batch.column(0), pa.array(net.scores(x))], ["doc_id", "score"])
 
@@ -186,6 +187,11 @@ def _score(shared):
 
 def fit_quality(docs: DataFrame, labels: DataFrame, column: str = "quality", folds: int = 3, out: int = 1, sample_rows: int = 20_000) -> tuple[np.ndarray, Network]:
     """Context vectors over all documents and the network trained on at most sample_rows labelled documents, one for each id."""
+    with frugal(docs.sparkSession):
+        return _fitted(docs, labels, column, folds, out, sample_rows)
+
+
+def _fitted(docs: DataFrame, labels: DataFrame, column: str, folds: int, out: int, sample_rows: int) -> tuple[np.ndarray, Network]:
     vectors = context_vectors(docs)
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
     rows = sampled_texts(docs, labelled_sample(labels, column, folds, out, sample_rows)).mapInArrow(_features(shared), "doc_id long, y double, x array<double>").toPandas().sort_values("doc_id", kind="stable")
@@ -214,10 +220,9 @@ def with_fold(scored: DataFrame, folds: int, out: int) -> DataFrame:
 def _keep(shared, at: int, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors, net = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             x = np.array([features_of(text.as_py(), vectors) for text in batch.column(at)]).reshape(-1, FEATURES)
             yield batch.filter(pa.array(net.scores(x) >= least))
-            pa.default_memory_pool().release_unused()
 
     return run
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 
 _RNG = np.random.Generator(np.random.PCG64(20240607))
 _BYTE = _RNG.integers(1, 2**64, 256, dtype=np.uint64)
@@ -17,6 +21,25 @@ NOT_ALNUM = np.zeros(256, bool)
 NOT_ALNUM[[*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]] = True
 
 
+def give_back() -> None:
+    """Gives memory that is free again back to the system: Arrow's pool, and the heap where the C library can.
+
+    Spark uses a Python worker again for other tasks; what a batch has needed once would stay with it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not the GNU library
+        pass
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The rows of batches in small ones, so that what is made of them stays small too; free memory goes back after each batch."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+        give_back()
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the base and of its inverse, modulo 2**64; kept up to a million."""
     have = _POWERS.get(0)
