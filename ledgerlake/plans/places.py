@@ -12,7 +12,7 @@ from ledgerlake.operators.quotas import shared_quota
 from ledgerlake.operators.ranking import global_rank, top_values
 from ledgerlake.operators.routing import route_addresses
 from ledgerlake.operators.sheets import transactions_of
-from ledgerlake.plans.registry import query, table
+from ledgerlake.plans.registry import query, table, written
 
 _PLACES = """reg AS (SELECT DISTINCT r_name AS label, 'N' || (n_nationkey % 17) || '구' AS locality, n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey),
     one AS (SELECT label, locality, min(n_nationkey) AS code FROM reg WHERE label <> 'ASIA' GROUP BY ALL),
@@ -43,6 +43,7 @@ _REASON = "CASE WHEN code = 999 THEN 'WHOLE_PROVINCE' WHEN code IS NOT NULL AND
 
 
 @query(f"WITH {_ROUTES} SELECT c_custkey, code::BIGINT AS route_code, {_REASON} AS route_reason FROM r")
+@written
 def locality_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers' addresses routed: with a region and a locality, with a locality alone, and others that have no route."""
     return _routed(spark, sf_dir).select("c_custkey", "route_code", "route_reason")
@@ -66,6 +67,7 @@ def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     t AS (SELECT code::VARCHAR AS region, origin, count(*) AS n FROM o WHERE routed GROUP BY ALL)
     SELECT 'region' AS part, region, string_agg(origin || ':' || n, ',' ORDER BY n DESC, origin) AS origins, sum(n)::BIGINT AS n FROM (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY region ORDER BY n DESC, origin) <= 3) GROUP BY region
     UNION ALL SELECT 'unrouted', origin, reason, count(*) FROM o WHERE NOT routed GROUP BY origin, reason""")
+@written
 def routing_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three segments of each routed office with most customers, and by segment why others have no route."""
     rows = _routed(spark, sf_dir)
@@ -82,6 +84,7 @@ def routing_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     q AS (SELECT g.*, n, clat, clon, -pi() / 2 + 2 * pi() * (row_number() OVER (PARTITION BY component ORDER BY s_name, id) - 1) / n AS angle, least(58, 20 + 6 * (n - 2)) AS radius FROM g JOIN s USING (component))
     SELECT id, n AS group_size, n > 1 AS "offset", round(CASE WHEN n > 1 THEN clat + cos(angle) * radius / 111320 ELSE lat END, 6) AS shown_lat,
         round(CASE WHEN n > 1 THEN clon + sin(angle) * radius / (111320 * cos(radians(clat))) ELSE lon END, 6) AS shown_lon FROM q""")
+@written
 def marker_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers placed in threes a few metres apart, each fourth by itself, and where their markers are shown."""
     i = F.col("s_suppkey")
@@ -99,6 +102,7 @@ def marker_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-zÀ-ÖØ-öø-ÿ]+')) AS word FROM documents),
     h AS (SELECT DISTINCT word || CASE length(word) % 3 WHEN 0 THEN '나' WHEN 1 THEN '가' ELSE '' END AS word FROM w)
     SELECT word, row_number() OVER (ORDER BY word COLLATE ko, word) AS place FROM h""")
+@written
 def collated_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All words of the documents, some with a Korean ending, numbered in the order of the Korean locale; bytes break ties."""
     words = table(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-zÀ-ÖØ-öø-ÿ]+"), F.lit(0))).alias("word")).distinct()
@@ -147,6 +151,7 @@ def sheet_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     x AS (SELECT id, score, 0 AS front, id IN (SELECT id FROM r) AS reserved FROM part_ WHERE id IN (SELECT id FROM r UNION ALL SELECT id FROM f)
         UNION ALL SELECT * FROM (SELECT id, score, 1, false FROM part_ WHERE id NOT IN (SELECT id FROM r UNION ALL SELECT id FROM f) ORDER BY score DESC, id LIMIT 70))
     SELECT id, reserved, row_number() OVER (ORDER BY front, score DESC, id)::INT AS place FROM x""")
+@written
 def shared_quotas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 250 dearest parts of which each of nine groups has ten places, parts of an earlier list first; most parts are in two groups."""
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_retailprice").alias("score"), "p_size")

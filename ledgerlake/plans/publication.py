@@ -14,7 +14,8 @@ from ledgerlake.operators.publication import (
     named_best, regional_gate, review_queue, union_of_tops, upsert_fields,
 )
 from ledgerlake.operators.rollups import candidates
-from ledgerlake.plans.registry import MEASURES, PLAUSIBLE, TX, query, table, transactions
+from ledgerlake.plans.registry import MEASURES, PLAUSIBLE, TX, query, table, transactions, written
+from ledgerlake.storage import materialize
 
 _C = f"c AS (SELECT merchant, {MEASURES} FROM tx WHERE {PLAUSIBLE} GROUP BY merchant), s AS (SELECT *, {score_sql('council')} AS score FROM c)"
 
@@ -25,9 +26,10 @@ def _scored(tx: DataFrame, by: list[str]) -> DataFrame:
 
 @query(f"""WITH {TX}, {_C}, top AS (SELECT merchant FROM s WHERE visits >= 3 AND months >= 2 AND score >= 50 QUALIFY row_number() OVER (ORDER BY score DESC, visits DESC, merchant) <= 80)
     SELECT merchant, count(*) AS rows, sum(amount)::BIGINT AS spend, count(*) FILTER (evening) AS evening FROM tx WHERE merchant IN (SELECT merchant FROM top) AND tier <= 3 AND {PLAUSIBLE} GROUP BY merchant""")
+@written
 def rows_of_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows of the 80 best candidates, of leaders only."""
-    tx = transactions(spark, sf_dir)
+    tx = materialize(transactions(spark, sf_dir), "tx")
     top = _scored(tx, ["merchant"]).where("visits >= 3 AND months >= 2 AND score >= 50").orderBy(F.desc("score"), F.desc("visits"), "merchant").limit(80)
     rows = chosen_rows(tx, top, "merchant", (F.col("tier") <= 3) & plausible(F.col("amount"), F.col("people")))
     return rows.groupBy("merchant").agg(F.count("*").alias("rows"), F.sum("amount").alias("spend"), F.count_if("evening").alias("evening"))
@@ -40,9 +42,10 @@ _SPEC = "CASE source WHEN 'BUILDING' THEN 4 WHEN 'MACHINERY' THEN 6 ELSE 5 END"
 @query(f"""WITH {TX}, {_OTHER}, r AS (SELECT institution AS region, origin AS place, family, count(*) AS visits, count(DISTINCT substr(used_date, 1, 7)) AS months, count(*) FILTER (tier = 1) AS heads, min(CASE WHEN address LIKE 'ECONOMY%' THEN address END) AS address FROM tx GROUP BY ALL),
     f AS (SELECT region, origin AS place, family, count(DISTINCT source) AS confirmed FROM y WHERE visits >= {_SPEC} AND months >= 2 AND score >= 40 AND length(family) >= 4 GROUP BY ALL)
     SELECT region, place, family, visits, coalesce(confirmed, 0) AS confirmed, (visits >= 3 AND months >= 2 AND (coalesce(address, '') <> '' OR (region < 'K' AND heads >= 3))) OR (region < 'K' AND visits >= 2 AND months >= 2 AND heads >= 2 AND coalesce(confirmed, 0) > 0) AS passes FROM r LEFT JOIN f USING (region, place, family)""")
+@written
 def corroborated_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regional records that pass by themselves or because other sources confirm them."""
-    tx = transactions(spark, sf_dir)
+    tx = materialize(transactions(spark, sf_dir), "tx")
     others = _scored(tx.withColumn("source", F.col("cohort")).withColumn("region", F.col("institution")), ["source", "region", "origin", "family"])
     specs = tx.select(F.col("cohort").alias("source")).distinct().select("source", F.when(F.col("source") == "BUILDING", 4).when(F.col("source") == "MACHINERY", 6).otherwise(5).alias("min_visits"), F.lit(2).alias("min_months"), F.lit(40.0).alias("min_score"))
     r = tx.groupBy(F.col("institution").alias("region"), F.col("origin").alias("place"), "family").agg(
@@ -87,10 +90,11 @@ _ROW = "orderkey || ':' || line || ':' || partkey || ':' || suppkey"
     pn AS (SELECT family, purpose, count(*) AS n FROM t GROUP BY ALL), p AS (SELECT * FROM pn QUALIFY row_number() OVER (PARTITION BY family ORDER BY n DESC, purpose) <= 8), pp AS (SELECT family, string_agg(purpose || ':' || n, ',' ORDER BY n DESC, purpose) AS purposes FROM p GROUP BY family),
     l AS (SELECT family, used_date, role, amount, row, hour FROM t QUALIFY row_number() OVER (PARTITION BY family ORDER BY used_date DESC, hour DESC, row DESC) <= 16), ll AS (SELECT family, string_agg(used_date || ':' || role || ':' || amount, ',' ORDER BY used_date DESC, hour DESC, row DESC) AS recent FROM l GROUP BY family)
     SELECT *, CAST(round_even(spend / people::DOUBLE, 0) AS BIGINT) AS per_head FROM b JOIN rr USING (family) JOIN pp USING (family) JOIN ll USING (family)""")
+@written
 def evidence_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full evidence of families: roles, purposes, the latest sixteen events, source rows."""
     tx = transactions(spark, sf_dir).withColumn("row", F.concat_ws(":", "orderkey", "line", "partkey", "suppkey")).withColumn("purpose", F.concat_ws(" ", "cohort", "address"))
-    out = merged_profiles(tx, ["family"], "family", [F.desc("used_date"), F.desc("hour"), F.desc("row")])
+    out = merged_profiles(materialize(tx, "tx"), ["family"], "family", [F.desc("used_date"), F.desc("hour"), F.desc("row")])
     flat = lambda c, *f: F.array_join(F.transform(c, lambda s: F.concat_ws(":", *(s[x] for x in f))), ",")
     return out.withColumn("roles", flat("roles", "role", "visits", "spend")).withColumn("purposes", flat("purposes", "text", "count")).withColumn("recent", flat("recent", "used_date", "role", "amount"))
 

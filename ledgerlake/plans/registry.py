@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.storage import scratch
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -24,6 +27,17 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
     return add
 
 
+def written(f: Query) -> Query:
+    """The query's result as a table; the tables that its operators wrote on the way are deleted."""
+
+    @wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with scratch() as keep:
+            return keep(f(spark, sf_dir), f.__name__)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators.ranking import ranked
 from ledgerlake.operators.serving import ORDERS, geojson_features, looked_up, searched, sort_order
-from ledgerlake.plans.registry import TX, query, table, transactions
+from ledgerlake.plans.registry import TX, query, table, transactions, written
 from ledgerlake.storage import materialize
 from ledgerlake.streaming.arrivals import within_lookback
 
@@ -36,6 +36,7 @@ _SORTS = " UNION ALL ".join(f"SELECT * FROM (SELECT '{n}' AS mode, row_number()
 
 
 @query(f"WITH {TX}, {_P} {_SORTS}")
+@written
 def site_sort_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 50 merchants of every sort order."""
     p, out = materialize(published(spark, sf_dir), "published"), None  # one aggregate for all orders
