@@ -18,10 +18,10 @@ CODES = {"서울중구": "1", "부산중구": "2", "서울강남구": "3", "경
 
 
 @pytest.mark.parametrize(("address", "code", "reason"), [
-    ("서울특별시 중구 세종대로 12", "1", "PROVINCE"), ("부산광역시 중구 중앙대로", "2", "PROVINCE"), ("서울영등포구국회대로70길7(여의도동)", "5", "PROVINCE"), ("경기도 성남시 분당구 1", "4", "PROVINCE"),
-    ("서울시 서초중앙로 188", None, "UNROUTABLE_JURISDICTION"), ("강남구 테헤란로", "3", "UNIQUE_LOCALITY"), ("양평군 1", "8", "UNIQUE_LOCALITY"), ("양평군", None, "UNROUTABLE_JURISDICTION"), ("강서구 공항대로", None, "UNROUTABLE_JURISDICTION"),
-    ("중구 통일로 78", None, "UNROUTABLE_JURISDICTION"), ("수원시 1", None, "UNROUTABLE_JURISDICTION"), ("세종시 도움로 1", "9", "WHOLE_PROVINCE"), ("세종시", None, "UNROUTABLE_JURISDICTION"), ("서울", None, "UNROUTABLE_JURISDICTION"),
-    (" ", None, "MISSING_ADDRESS"), (None, None, "MISSING_ADDRESS"), ("전국 공공기관", None, "UNROUTABLE_JURISDICTION"), ("도로 강남구", None, "UNROUTABLE_JURISDICTION"),
+    ("서울특별시 중구 을지로 5", "1", "PROVINCE"), ("부산광역시 중구 광복로 7", "2", "PROVINCE"), ("서울영등포구여의대로24(여의도동)", "5", "PROVINCE"), ("경기도 성남시 수정구 산성대로 1", "4", "PROVINCE"),
+    ("서울시 한강대로 405", None, "UNROUTABLE_JURISDICTION"), ("강남구 테헤란로", "3", "UNIQUE_LOCALITY"), ("양평군 1", "8", "UNIQUE_LOCALITY"), ("양평군", None, "UNROUTABLE_JURISDICTION"), ("강서구 화곡로 3", None, "UNROUTABLE_JURISDICTION"),
+    ("중구 명동길 3", None, "UNROUTABLE_JURISDICTION"), ("수원시 1", None, "UNROUTABLE_JURISDICTION"), ("세종시 도움로 1", "9", "WHOLE_PROVINCE"), ("세종시", None, "UNROUTABLE_JURISDICTION"), ("서울", None, "UNROUTABLE_JURISDICTION"),
+    (" ", None, "MISSING_ADDRESS"), (None, None, "MISSING_ADDRESS"), ("해외 공관", None, "UNROUTABLE_JURISDICTION"), ("도로 강남구", None, "UNROUTABLE_JURISDICTION"),
 ])
 def test_routes(routed, address, code, reason):
     assert routed[address] == (code, reason)
