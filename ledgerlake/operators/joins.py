@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -58,14 +59,18 @@ def longest_prefix(df: DataFrame, routes: DataFrame, text: str, prefix: str = "p
     return df.join(best, text, "left").select(*df.columns, "_r.*")
 
 
-def close_pairs(points: DataFrame, key: str, x: str, y: str, radius: float) -> DataFrame:
-    """(a, b, distance) of points at most radius apart, a < b: an equi-join on square cells and their neighbours."""
+def close_pairs(points: DataFrame, key: str, x: str, y: str, radius: float, by: Sequence[str] = ()) -> DataFrame:
+    """(a, b, distance) of points at most radius apart, a < b: an equi-join on square cells and their neighbours.
+
+    With `by`, only points that agree in these columns (those of one map) are compared; a null agrees with none."""
     cell = lambda c: F.floor(F.col(c) / F.lit(radius)).cast("long")
-    p = points.select(F.col(key).alias("k"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"), cell(x).alias("cx"), cell(y).alias("cy")).where("x IS NOT NULL AND y IS NOT NULL")
+    maps = [F.col(c).alias(f"m{i}") for i, c in enumerate(by)]
+    same = [f"m{i}" for i in range(len(by))]
+    p = points.select(*maps, F.col(key).alias("k"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"), cell(x).alias("cx"), cell(y).alias("cy")).where("x IS NOT NULL AND y IS NOT NULL")
     steps = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
-    near = p.withColumn("s", F.explode(steps)).select(F.col("k").alias("b"), F.col("x").alias("bx"), F.col("y").alias("by"), (F.col("cx") + F.col("s.i")).alias("cx"), (F.col("cy") + F.col("s.j")).alias("cy"))
+    near = p.withColumn("s", F.explode(steps)).select(*same, F.col("k").alias("b"), F.col("x").alias("bx"), F.col("y").alias("by"), (F.col("cx") + F.col("s.i")).alias("cx"), (F.col("cy") + F.col("s.j")).alias("cy"))
     d = F.sqrt((F.col("x") - F.col("bx")) * (F.col("x") - F.col("bx")) + (F.col("y") - F.col("by")) * (F.col("y") - F.col("by")))
-    return p.join(near, ["cx", "cy"]).where(F.col("k") < F.col("b")).select(F.col("k").alias("a"), "b", d.alias("distance")).where(F.col("distance") <= radius)
+    return p.join(near, [*same, "cx", "cy"]).where(F.col("k") < F.col("b")).select(F.col("k").alias("a"), "b", d.alias("distance")).where(F.col("distance") <= radius)
 
 
 def in_boxes(points: DataFrame, boxes: DataFrame, on: list[str], x: str, y: str) -> DataFrame:

@@ -7,10 +7,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.joins import close_pairs
 from ledgerlake.operators.markers import ring_layout
 from ledgerlake.operators.quotas import shared_quota
 from ledgerlake.operators.routing import route_addresses
 from ledgerlake.operators.sheets import blank_ends, transactions_of
+from ledgerlake.plans.catalog import QUERIES
 from ledgerlake.streaming import states
 
 PROVINCES = [("서울", a) for a in ("서울특별시", "서울시", "서울")] + [("부산", a) for a in ("부산광역시", "부산")] + [("경기", a) for a in ("경기도", "경기")] + [("세종특별자치시", a) for a in ("세종특별자치시", "세종시")]
@@ -95,6 +97,17 @@ def test_rings(spark):
     assert ring_layout(spark.createDataFrame([], "k string, g string, lat double, lon double"), "g", [F.col("k")]).collect() == []
 
 
+def test_rings_of_several_maps(spark, tmp_path):
+    """Places a thousand groups apart have equal coordinates: they are on different maps and share no ring."""
+    ids = [i + 4000 * m for m in (0, 1, 3) for i in (4, 5, 6, 7, 8, 9)]
+    spark.createDataFrame([(i, f"S{i % 2}") for i in ids], "s_suppkey long, s_name string").write.parquet(str(tmp_path / "supplier.parquet"))
+    got = {r.id: r for r in QUERIES["marker_rings"](spark, str(tmp_path)).collect()}
+    assert {i: r.group_size for i, r in got.items()} == {i + 4000 * m: n for m in (0, 1, 3) for i, n in ((4, 3), (5, 3), (6, 3), (7, 1), (8, 2), (9, 2))}
+    points = spark.createDataFrame([(1, 0.0, "a"), (2, 1.0, "b"), (3, 2.0, "a"), (4, 0.0, None), (5, 0.0, None)], "k long, x double, m string")
+    assert [tuple(r) for r in close_pairs(points, "k", "x", "x", 3.0, by=["m"]).select("a", "b").collect()] == [(1, 3)]
+    assert close_pairs(points, "k", "x", "x", 3.0).count() == 10
+
+
 def test_states_by_stream_and_replay(spark, tmp_path):
     """Events come in three runs, some late and some twice of one time; each run ends in what a replay of all so far gives."""
     rng = random.Random(5)
