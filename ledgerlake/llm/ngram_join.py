@@ -33,8 +33,8 @@ from ledgerlake.storage import discard, frugal, materialize
 
 #: Seeds of orders 2 and 3.
 SEEDS = np.array([0x5851F42D4C957F2D, 0x14057B7EF767814F], np.uint64)
-#: At most this many tokens count as hot; their rows are dealt to SALTS tasks.
-HOT, SALTS = 10_000, 32
+#: At most this many tokens count as hot; their rows are dealt to one task for every SHARE of them, at most SALTS.
+HOT, SHARE, SALTS = 10_000, 2_000, 32
 POSTING = "token long, cls long, zone byte"
 #: Bytes kept of a token in the prefixes of orders 2 and 3.
 NARROW = 3
@@ -163,22 +163,23 @@ def _compare(percent: int):
 
 
 def _hot_tokens(counts: DataFrame) -> DataFrame | None:
-    """Tokens with more than 64 postings and more than a 10,000th of all that are counted, None without any.
+    """(token, salts): tokens with more than SHARE postings and more than a 10,000th of all that are counted, None without any.
 
     They are at most 10,000, however many postings there are, so the table is safe to broadcast. counts has token and df."""
     total = counts.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n")).first()["n"]
-    hot = materialize(counts.where((F.col("df") > 64) & (F.col("df") * HOT > total)).select("token", F.lit(True).alias("hot")).coalesce(1), "shingle_hot")
+    salts = F.least(F.lit(SALTS), F.ceil(F.col("df") / SHARE)).cast("int").alias("salts")
+    hot = materialize(counts.where((F.col("df") > SHARE) & (F.col("df") * HOT > total)).select("token", salts).coalesce(1), "shingle_hot")
     return None if hot.isEmpty() else hot
 
 
 def _dealt(df: DataFrame, hot: DataFrame | None, by: F.Column | None) -> DataFrame:
-    """df with a salt: the rows of a hot token go to SALTS parts by a column, or to all of them (by is None)."""
+    """df with a salt: the rows of a hot token go to its parts by a column, or to all of them (by is None)."""
     if hot is None:
         return df.withColumn("salt", F.lit(0))
     marked = df.join(F.broadcast(hot), "token", "left")
     if by is None:
-        return marked.withColumn("salt", F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop("hot")
-    return marked.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")).otherwise(0)).drop("hot")
+        return marked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
+    return marked.withColumn("salt", F.coalesce(F.pmod(F.xxhash64(by), F.col("salts")).cast("int"), F.lit(0))).drop("salts")
 
 
 def _by_token(many: DataFrame, one: DataFrame, hot: DataFrame | None, how: str = "inner") -> DataFrame:
@@ -246,11 +247,11 @@ def _list_pairs(index: DataFrame, hot: DataFrame | None, percent: int) -> DataFr
     """Pairs within each posting list of members in different components.
 
     The join is by token and a class of length: lengths that differ by no more than the threshold allows lie in the same
-    or in neighbouring classes. One side of a hot list is dealt to SALTS tasks, the other goes to all of them."""
+    or in neighbouring classes. The side that has a row for each of these is dealt, the other goes to all parts of a hot list."""
     step = float(np.log(100 / percent)) if percent < 100 else 1e-9
     rows = index.withColumn("length", F.floor(F.log(F.col("n").cast("double")) / F.lit(step)).cast("long"))
     near = rows.withColumn("length", F.explode(F.array(*(F.col("length") + k for k in (-1, 0, 1)))))
-    x, y = _dealt(rows, hot, F.col("cls")), _other(_dealt(near, hot, None), "length", "salt")
+    x, y = _dealt(rows, hot, None), _other(_dealt(near, hot, F.col("cls")), "length", "salt")
     return _ordered_pairs(x.join(y, ["token", "salt", "length"]).where((F.col("component") < F.col("o_component")) & _may_link(percent)))
 
 

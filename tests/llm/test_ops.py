@@ -96,6 +96,21 @@ def test_jaccard_of_hot_lists(spark, monkeypatch, hot):
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == brute_components(texts, 3, 80)
 
 
+def test_rows_of_hot_lists(spark, monkeypatch):
+    """A list that one task can take is not copied for several; a longer one is for no more than its length asks for."""
+    counts = spark.createDataFrame([(1, 1500), (2, 4500), (3, 10**6)] + [(i, 2) for i in range(10, 20)], "token long, df long")
+    hot = ngram_join._hot_tokens(counts)
+    assert {r["token"]: r["salts"] for r in hot.collect()} == {2: 3, 3: 32}
+    rows = spark.createDataFrame([(t, c) for t in (1, 2, 3, 10) for c in range(50)], "token long, cls long")
+    assert ngram_join._dealt(rows, hot, None).count() == 50 * (1 + 3 + 32 + 1) and ngram_join._dealt(rows, hot, F.col("cls")).count() == 200
+    monkeypatch.setattr(ngram_join, "SHARE", 10)
+    base = [f"w{i}" for i in range(60)]
+    rng = random.Random(8)
+    texts = [(i, " ".join(f"x{rng.randrange(30)}" if k in rng.sample(range(60), 2) else w for k, w in enumerate(base))) for i in range(120)]
+    got, _ = ngram_join.ngram_jaccard_join(docs_of(spark, texts), 3, 80)
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == brute_components(texts, 3, 80)
+
+
 def test_jaccard_without_id(spark):
     own = [f"w{i}" for i in range(100)]
     changed = lambda *at: " ".join(f"c{i}" if i in at else w for i, w in enumerate(own))
