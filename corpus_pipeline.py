@@ -11,7 +11,7 @@ from ledgerlake.llm.pii import mask_personal_data
 from ledgerlake.llm.quality import keep_quality
 from ledgerlake.llm.queries import piece_model, table
 from ledgerlake.llm.sentencepieces import encode_digests
-from ledgerlake.storage import discard, scratch
+from ledgerlake.storage import discard, frugal, scratch
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,10 +58,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each stage's output is written, and what the stage and the one before it wrote is deleted then."""
+    """Each stage's output is written, and what the stage and the one before it wrote is deleted then. Arrow batches are
+    bounded by bytes in all stages."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        with scratch() as keep:
+        with frugal(spark), scratch() as keep:
             done = keep(stage(spark, docs, sf_dir), "corpus_stage")
         discard(docs)
         docs = done

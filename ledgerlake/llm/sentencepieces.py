@@ -22,10 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.words import slices
+
 #: The blank mark of a vocabulary; here pieces and texts are kept with plain blanks, which stand for the same symbol.
 BLANK = "▁"
 _BEFORE, _AFTER = list(range(-1, 63)), list(range(1, 65))
 
+#: Places of the table of stretches that have been met.
+MET = 1 << 21
 
 #: Signs before which merges end behind any character that no piece has in front of such a sign.
 MARKS = "!-/:-@\\[-`{-~"
@@ -45,7 +49,7 @@ def stretch_pattern(pieces: Iterable[str]) -> str:
 class MergeEncoder:
     """Encoder for one model file; `library` is the sentencepiece processor of the same file."""
 
-    def __init__(self, path: str, kept: int = 600_000):
+    def __init__(self, path: str, kept: int = 200_000):
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2
 
@@ -66,7 +70,7 @@ class MergeEncoder:
             raise ValueError("needs byte pieces for unknown characters")
         self.bytes, self.begin, self.end = [pack([i]) for i in byte_ids], pack([self.library.bos_id()]), pack([self.library.eos_id()])
         self.stretches = re.compile(stretch_pattern(self.rank)).findall
-        self.kept, self.known, self.older = kept, _Known(self), {}
+        self.kept, self.known, self.older, self.met = kept, _Known(self), {}, bytearray(MET)
 
     def merge(self, stretch: str) -> list[str]:
         """The symbols of a stretch after all merges. An agenda entry is a rank of score and the place of the left symbol."""
@@ -97,10 +101,15 @@ class MergeEncoder:
         return [s for s in symbols if s is not None]
 
     def packed_ids(self, stretch: str) -> bytes:
-        """Ids of a stretch that is not among the known; two generations of stretches are kept."""
-        ids = self.older.get(stretch) or self.symbol_ids(self.merge(stretch))
+        """Ids of a stretch that is not among the known; two generations are kept of stretches that came before."""
+        ids = self.older.get(stretch)
+        if ids is None:
+            ids, at = self.symbol_ids(self.merge(stretch)), hash(stretch) % MET
+            if not self.met[at]:  # most stretches come only once
+                self.met[at] = 1
+                return ids
         if len(self.known) >= self.kept:
-            self.known, self.older = _Known(self), self.known
+            self.known, self.older, self.met = _Known(self), self.known, bytearray(MET)
         if len(stretch) <= 32:
             self.known[stretch] = ids
         return ids
@@ -156,11 +165,9 @@ def _pieces(path: str, columns, slice_: int = 128):
     """columns makes the arrays of packed ids and decodings from their lists."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
-        for batch in batches:
-            for at in range(0, len(batch), slice_):
-                part = batch.slice(at, slice_)
-                made = columns(*checked_pieces(own, part.column(0), [t or "" for t in part.column(1).to_pylist()]))
-                yield pa.record_batch([part.column(0), *made.values()], ["row", *made])
+        for part in slices(batches, slice_):
+            made = columns(*checked_pieces(own, part.column(0), [t or "" for t in part.column(1).to_pylist()]))
+            yield pa.record_batch([part.column(0), *made.values()], ["row", *made])
 
     return run
 

@@ -111,6 +111,21 @@ def test_rows_of_hot_lists(spark, monkeypatch):
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == brute_components(texts, 3, 80)
 
 
+def test_encoder_keeps_what_comes_again():
+    own = sentencepieces.MergeEncoder(queries.piece_model(), kept=50)
+    texts = ["zqx zqy", *(f"qz{i} again" for i in range(400)), "zqx zqy again"]
+    assert [own.encode(t) for t in texts] == [sentencepieces.pack(own.library.encode(t, add_bos=True, add_eos=True)) for t in texts]
+    assert " again" in {**own.known, **own.older} and " qz7" not in {**own.known, **own.older} and len(own.known) <= 50
+
+
+def test_batches_of_all_stages(spark, monkeypatch):
+    import corpus_pipeline
+
+    seen = []
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("a", lambda s, docs, folder: seen.append(s.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) or docs.limit(3))])
+    assert corpus_pipeline.run(spark, SF).count() == 3 and seen == [str(4 << 20)]
+
+
 def test_jaccard_without_id(spark):
     own = [f"w{i}" for i in range(100)]
     changed = lambda *at: " ".join(f"c{i}" if i in at else w for i, w in enumerate(own))
