@@ -100,6 +100,15 @@ def file_digests(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return files.select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))
 
 
+def packed_digests(files: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
+    """(path, sha256, bytes) of small files that are kept as rows of a table, many in one of its files.
+
+    Millions of small files by themselves would each cost a creation, a rename, an entry of a listing and an opening; here
+    the cost is that of their bytes."""
+    whole = F.col(content)
+    return files.select(F.col(path).alias("path"), F.sha2(whole, 256).alias("sha256"), F.octet_length(whole).cast("long").alias("bytes"))
+
+
 def file_lineage(authorized: DataFrame, parsed: DataFrame, files: DataFrame, least_bytes: int = 32) -> DataFrame:
     """(source, url, state) for every file that is authorised, parsed or both.
 

@@ -5,8 +5,10 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerlake import storage
 from ledgerlake.operators.gates import GateError
-from ledgerlake.operators.publishing import Check, Floor, SourcePointers, checked_write, file_digests, file_lineage, lineage_summary, with_repeats
+from ledgerlake.operators.publishing import Check, Floor, SourcePointers, checked_write, file_digests, file_lineage, lineage_summary, packed_digests, with_repeats
+from ledgerlake.plans.catalog import QUERIES
 
 
 def test_checked_write_publishes_or_raises(spark, tmp_path):
@@ -54,6 +56,18 @@ def test_lineage(spark, tmp_path):
     assert status == {"a": ("HOLD", 2), "b": ("HOLD", 3), "c": ("HOLD", 3), "d": ("HOLD", 1)}
 
 
+def test_packed_files(spark, tmp_path, monkeypatch):
+    """Packed files have the digests of the same bytes in files of their own; the query stores few files for many."""
+    import hashlib
+
+    bodies = {"a": "길 1\n".encode(), "b": b"", "c": b"x" * 5000}
+    found = packed_digests(spark.createDataFrame([(k, bytearray(v)) for k, v in bodies.items()] + [("d", None)], "path string, content binary"))
+    assert {r.path: (r.sha256, r.bytes) for r in found.collect()} == {**{k: (hashlib.sha256(v).hexdigest(), len(v)) for k, v in bodies.items()}, "d": (None, None)}
+    monkeypatch.setattr(storage, "shared_folder", lambda session: str(tmp_path))
+    assert QUERIES["file_lineage"](spark, "/root/testdata/sf0.01").count() == 25
+    assert 0 < sum(1 for f in tmp_path.rglob("part-*") if f.is_file()) <= 16
+
+
 def test_pointers_of_two_writers(spark, tmp_path):
     pointers = SourcePointers(spark, str(tmp_path / "now"))
     assert pointers.latest() == (-1, {}) and pointers.read() is None
