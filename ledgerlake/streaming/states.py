@@ -23,6 +23,8 @@ from ledgerlake.functions.text import ladder
 #: table is valid, and the address that was read or failed. (at, id) is a total order of a source's events.
 EVENT = "source string, at timestamp, id long, outcome string, step string, valid boolean, url string"
 STATE = "source string, status string, since timestamp, events long, waiting long, retry array<string>"
+#: Addresses of a source whose events are summed at once.
+NOTES = 10_000
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -56,6 +58,8 @@ class SourceStates(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         latest, good = self.latest.get(), self.good.get()
         count = (self.seen.get() or (0,))[0]
+        # each access to the state is a message to the JVM, so events are summed by address before they meet it
+        notes: dict[str, list] = {}
         for batch in rows:
             for at, i, outcome, step, valid, url in batch[["at", "id", "outcome", "step", "valid", "url"]].itertuples(index=False, name=None):
                 count += 1
@@ -65,18 +69,24 @@ class SourceStates(StatefulProcessor):
                 if outcome == "UPDATED" and (good is None or place < tuple(good)):
                     good = place
                 if isinstance(url, str):
-                    self._note(url, place, outcome == "FAILED")
+                    note, k = notes.setdefault(url, [None, None]), int(outcome != "FAILED")
+                    if note[k] is None or place > note[k]:
+                        note[k] = place
+                    if len(notes) >= NOTES:
+                        self._store(notes)
+        self._store(notes)
         self.latest.update(latest), self.good.update(good) if good else None, self.seen.update((count,))
         waiting, retry = self._ledger()
         yield pd.DataFrame({"source": [key[0]], "at": [latest[0]], "id": [latest[1]], "outcome": [latest[2]], "step": [latest[3]], "valid": [latest[4]], "good_before": [good is not None and tuple(good) < tuple(latest[:2])], "events": [count], "waiting": [waiting], "retry": [retry]})
 
-    def _note(self, url: str, place: tuple, failed: bool) -> None:
-        failed_at, failed_id, done_at, done_id = self.urls.getValue((url,)) or (None, None, None, None)
-        if failed and (failed_at is None or place > (failed_at, failed_id)):
-            failed_at, failed_id = place
-        elif not failed and (done_at is None or place > (done_at, done_id)):
-            done_at, done_id = place
-        self.urls.updateValue((url,), (failed_at, failed_id, done_at, done_id))
+    def _store(self, notes: dict[str, list]) -> None:
+        """Brings the latest failure and success of some addresses into the state, and empties the notes."""
+        for url, new in notes.items():
+            old = self.urls.getValue((url,)) or (None,) * 4
+            kept = [was if n is None or (was[0] is not None and was > n) else n for was, n in zip((tuple(old[:2]), tuple(old[2:])), new)]
+            if (now := (*kept[0], *kept[1])) != tuple(old):
+                self.urls.updateValue((url,), now)
+        notes.clear()
 
     def _ledger(self) -> tuple[int, list[str]]:
         open_, last = 0, []

@@ -4,6 +4,7 @@ import datetime as dt
 import math
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,6 +109,43 @@ def test_rings_of_several_maps(spark, tmp_path):
     assert close_pairs(points, "k", "x", "x", 3.0).count() == 10
 
 
+def test_state_accesses_by_address(monkeypatch):
+    """A source's state is read and written once for each address, however many events there are, also when notes fill up."""
+    class Urls(dict):
+        calls = 0
+
+        def getValue(self, key):
+            Urls.calls += 1
+            return self.get(key)
+
+        def updateValue(self, key, value):
+            Urls.calls += 1
+            self[key] = value
+
+        def iterator(self):
+            return iter(self.items())
+
+    class Value:
+        now = None
+        get = lambda self: self.now
+        update = lambda self, v: setattr(self, "now", v)
+
+    rng = random.Random(2)
+    start = dt.datetime(2026, 1, 1)
+    rows = [(pd.Timestamp(start + dt.timedelta(minutes=rng.randrange(50))), i, rng.choice(["UPDATED", "FAILED"]), "X", True, rng.choice(["u1", "u2", None])) for i in range(500)]
+    frames = [pd.DataFrame(rows[i : i + 100], columns=["at", "id", "outcome", "step", "valid", "url"]) for i in range(0, 500, 100)]
+    ends = []
+    for notes in (100, 1):
+        monkeypatch.setattr(states, "NOTES", notes)
+        p, Urls.calls = states.SourceStates(), 0
+        p.urls, p.latest, p.good, p.seen = Urls(), Value(), Value(), Value()
+        list(p.handleInputRows(("s",), iter(frames), None))
+        ends.append(dict(p.urls))
+        assert Urls.calls == 4 or notes == 1
+    best = lambda u, failed: max((r[0].to_pydatetime(), r[1]) for r in rows if r[5] == u and (r[2] == "FAILED") == failed)
+    assert ends[0] == ends[1] == {(u,): (*best(u, True), *best(u, False)) for u in ("u1", "u2")}
+
+
 def test_states_by_stream_and_replay(spark, tmp_path):
     """Events come in three runs, some late and some twice of one time; each run ends in what a replay of all so far gives."""
     rng = random.Random(5)
