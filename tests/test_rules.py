@@ -87,3 +87,10 @@ def test_retries_and_news(spark):
     got = arrivals.retry_list(of([("a", 1), ("b", 2)]), of([("a", 5), ("c", 3)]), of([("b", 9)]), "url", ["at"], 2)
     assert sorted(map(tuple, got.collect())) == [("a", 5), ("c", 3)]
     assert arrivals.has_news(of([("a", 1), ("z", 1)]), of([("a", 1)]), ["url"]) and not arrivals.has_news(of([("a", 7)]), of([("a", 1)]), ["url"])
+
+
+def test_parts_are_computed_once(spark):
+    """A name is split once for a row, and an address made ready once, not again for every part."""
+    plan = lambda c: spark.createDataFrame([("a, b",)], "x string").select(c.alias("y"))._jdf.queryExecution().analyzed().toString()
+    assert plan(R.street_of_display(F.col("x"))).count("split(") == 1
+    assert plan(R.address_tokens(F.col("x"))).count("regexp_replace(") == plan(R.lookup_address(F.col("x"))).count("regexp_replace(") > 0
