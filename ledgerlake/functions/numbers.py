@@ -13,7 +13,12 @@ CURRENCY_CELL = r"^\s*(?:₩\s*)?\d[\d,]*\s*(?:원)?\s*$"
 
 def to_amount(c: Column) -> Column:
     """Whole amount of a text: digits, points and minus signs only, rounded half to even; null if no number."""
-    return F.bround(F.regexp_replace(text(c), "[^0-9.-]", "").try_cast("double")).try_cast("bigint")
+    return amount_of(text(c))
+
+
+def amount_of(s: Column) -> Column:
+    """to_amount() of what text() gives."""
+    return F.bround(F.nullif(F.regexp_replace(s, "[^0-9.-]", ""), F.lit("")).try_cast("double")).try_cast("bigint")
 
 
 def recover_amount(cells: Column, excluded: Column | None = None) -> Column:
@@ -81,12 +86,19 @@ def _group(s: Column, pattern: str, i: int) -> Column:
 
 
 def _by_layouts(raw: Column, layouts: list, own: tuple[Column, ...] = ()) -> Column:
-    """The date of the first layout that gives one; place 0 takes the year or month of the period."""
+    """The date of the first layout that gives one; place 0 takes the year or month of the period.
+
+    A layout takes in the whole text, so one with a place for each part rewrites it as Y-M-D, which a cast reads without
+    leading zeros."""
     part = lambda pattern, at, i: _group(raw, pattern, at) if at else own[i]
     found = []
     for pattern, before, places in layouts:
-        y, m, d = (part(pattern, at, i) for i, at in enumerate(places))
-        found.append(F.when(raw.rlike(pattern), _date(F.concat(F.lit(before), y), m, d)))
+        if all(places):
+            date = F.concat(F.lit(before), F.regexp_replace(raw, pattern, "-".join(f"${at}" for at in places))).try_cast("date")
+        else:
+            y, m, d = (part(pattern, at, i) for i, at in enumerate(places))
+            date = _date(F.concat(F.lit(before), y), m, d)
+        found.append(F.when(raw.rlike(pattern), date))
     return F.coalesce(*found)
 
 
@@ -94,7 +106,16 @@ def to_date(c: Column) -> Column:
     """Date of a text in one of the layouts YY.MM.DD, YYYY-MM-DD, YYYYMMDD, YYYY-MMDD, YYYYMM-DD and YYYY.M.D; null else.
 
     A time at the end is dropped first."""
-    raw = F.trim(F.regexp_replace(F.trim(F.coalesce(c.cast("string"), F.lit(""))), r"\s+\d{1,2}:\d{2}(?::\d{2})?\s*$", ""))
+    return date_of(without_time(c))
+
+
+def without_time(c: Column) -> Column:
+    """A text without the time at its end."""
+    return F.trim(F.regexp_replace(F.trim(F.coalesce(c.cast("string"), F.lit(""))), r"\s+\d{1,2}:\d{2}(?::\d{2})?\s*$", ""))
+
+
+def date_of(raw: Column) -> Column:
+    """to_date() of what without_time() gives; that is read by every layout and best a column of its own."""
     return _by_layouts(raw, DATE_LAYOUTS)
 
 

@@ -85,10 +85,15 @@ def entity_key(name: Column, address: Column, place: Column, origin: Column) ->
 
 def rejoin_spaced(c: Column | str) -> Column:
     """Joins a text of three or more parts if at least 70 % of these are single Hangul syllables."""
-    s = text(c)
-    parts = F.split(s, " ")
-    single = F.size(F.filter(parts, lambda p: p.rlike("^[가-힣]$")))
-    return F.when((F.size(parts) >= 3) & (single / F.size(parts) >= 0.7), F.array_join(parts, "")).otherwise(s)
+    return rejoined(text(c))
+
+
+def rejoined(s: Column) -> Column:
+    """rejoin_spaced() of what text() gives: parts are parted by one blank each."""
+    joined = F.replace(s, F.lit(" "), F.lit(""))
+    parts = F.length(s) - F.length(joined) + 1
+    single = F.regexp_count(s, F.lit("(?<![^ ])[가-힣](?![^ ])"))
+    return F.when((parts >= 3) & (single / parts >= 0.7), joined).otherwise(s)
 
 
 def split_place(c: Column | str) -> Column:

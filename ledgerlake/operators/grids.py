@@ -39,7 +39,11 @@ def has_field(cells: Column, names: list[str]) -> Column:
 
 def header_score(cells: Column, aliases: dict[str, list[str]] | None = None) -> Column:
     """Points of a line as a header: one for each field it names, and the fields' bonus."""
-    cells, aliases = F.transform(cells, norm_header), aliases or ALIASES
+    return _points(F.transform(cells, norm_header), aliases or ALIASES)
+
+
+def _points(cells: Column, aliases: dict[str, list[str]]) -> Column:
+    """header_score() of cells that went through norm_header()."""
     return reduce(lambda a, b: a + b, (F.when(has_field(cells, names), 1 + BONUS.get(f, 0)).otherwise(0) for f, names in aliases.items()))
 
 
@@ -54,10 +58,10 @@ def find_headers(grid: DataFrame, by: list[str], aliases: dict[str, list[str]] |
     g = grid.where(F.col("idx") < first).withColumn("_next", after)
     pair = F.zip_with("cells", "_next", lambda x, y: F.trim(F.concat_ws(" ", F.nullif(text(x), F.lit("")), F.nullif(text(y), F.lit("")))))
     options = g.select(*by, "idx", F.explode(F.array(F.struct(F.lit(1).alias("span"), F.col("cells").alias("header")), F.struct(F.lit(2).alias("span"), pair.alias("header")))).alias("o")).select(*by, "idx", "o.*").where("header IS NOT NULL")
-    options = options.withColumn("score", header_score(F.col("header"), a))
-    normal = F.transform("header", norm_header)
-    best = options.groupBy(*by, "span").agg(F.min_by(F.struct("idx", "header", "score"), F.struct(-F.col("score"), "idx")).alias("b")).select(*by, "span", "b.*")
-    good = best.where((F.col("score") >= 4) & has_field(normal, a["merchant"]) & has_field(normal, a["amount"]))
+    # the names of cells are read for every field: a column of their own, computed once for a line
+    options = options.withColumn("_names", F.transform("header", norm_header)).withColumn("score", _points(F.col("_names"), a))
+    best = options.groupBy(*by, "span").agg(F.min_by(F.struct("idx", "header", "score", "_names"), F.struct(-F.col("score"), "idx")).alias("b")).select(*by, "span", "b.*")
+    good = best.where((F.col("score") >= 4) & has_field(F.col("_names"), a["merchant"]) & has_field(F.col("_names"), a["amount"]))
     return good.groupBy(*by).agg(F.min_by(F.struct("idx", "span", "header", "score"), "span").alias("b")).select(*by, "b.*")
 
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.numbers import date_or_text, head_count, to_amount
-from ledgerlake.functions.rules import plausible_merchant
-from ledgerlake.functions.text import text
+from ledgerlake.functions.numbers import amount_of, date_of, head_count, without_time
+from ledgerlake.functions.rules import packed_name, plausible_name
+from ledgerlake.functions.text import rejoined, text
 from ledgerlake.operators.grids import column_positions, find_headers
 
 # Notices of sheets without transactions, ways of paying that stand in a merchant's place, words of totals,
@@ -20,7 +20,7 @@ BLANKS = 8
 
 
 def _without_blanks(c: Column) -> Column:
-    return F.regexp_replace(F.coalesce(c, F.lit("")), " ", "")
+    return F.replace(F.coalesce(c, F.lit("")), F.lit(" "), F.lit(""))
 
 
 def _says(c: Column, words: list[str]) -> Column:
@@ -48,28 +48,32 @@ def transactions_of(grid: DataFrame, by: list[str], aliases: dict[str, list[str]
     a full one, if it has a merchant. Sheets without a header give no rows; grid has one row for each line of a sheet.
     """
     headers = find_headers(grid, by, aliases).select(*by, F.col("idx").alias("_h"), "span", column_positions(F.col("header"), aliases).alias("_m"))
-    lines = grid.join(headers, by).where(F.col("idx") >= F.col("_h") + F.col("span"))
-    raw = lambda f: F.get("cells", F.try_element_at("_m", F.lit(f)))
-    cell = lambda f: F.coalesce(text(raw(f)), F.lit(""))
-    blank = ~F.exists("cells", lambda c: F.coalesce(text(c), F.lit("")) != "")
+    lines = grid.join(headers.hint("shuffle_hash"), by).where(F.col("idx") >= F.col("_h") + F.col("span")).withColumn("_texts", F.transform("cells", text))
+    # what several rules read is a column of an earlier step, computed once for a line
+    of = lambda cells, f: F.get(cells, F.try_element_at("_m", F.lit(f)))
+    cell = lambda f: F.coalesce(of("_texts", f), F.lit(""))
     read = lines.select(
-        *by, "idx", blank.alias("blank"), cell("date").alias("_raw_date"), F.coalesce(date_or_text(raw("date")), F.lit("")).alias("_date"), cell("merchant").alias("merchant"), to_amount(raw("amount")).alias("amount"),
-        cell("address").alias("address"), cell("purpose").alias("purpose"), head_count(F.concat(raw("people"), F.lit("명"))).alias("people"), cell("role").alias("role"), cell("method").alias("method"),
-        F.concat_ws(" ", F.transform(F.slice("cells", 1, 8), lambda c: F.coalesce(text(c), F.lit("")))).alias("_line"),
+        *by, "idx", (~F.exists("_texts", lambda c: c != "")).alias("blank"), cell("date").alias("_raw_date"), without_time(of("cells", "date")).alias("_day"), cell("merchant").alias("merchant"), amount_of(cell("amount")).alias("amount"),
+        cell("address").alias("address"), cell("purpose").alias("purpose"), head_count(F.concat(of("cells", "people"), F.lit("명"))).alias("people"), cell("role").alias("role"), cell("method").alias("method"),
+        F.concat_ws(" ", F.slice("_texts", 1, 8)).alias("_line"), rejoined(cell("merchant")).alias("_name"), _without_blanks(cell("date")).alias("_said"),
     )
-    notice = _says(_without_blanks(F.col("_raw_date")), NO_DATA)
+    read = read.withColumns({"_date": F.coalesce(F.date_format(date_of(F.col("_day")), "yyyy-MM-dd"), F.col("_raw_date")), "_packed": packed_name(F.col("_name")), "_totals": _says(F.col("_line"), TOTAL_WORDS)})
     named = F.col("merchant") != ""
-    no_name = named & (~plausible_merchant(F.col("merchant")) | _without_blanks(F.col("merchant")).isin(PAYMENT_METHODS))
-    open_ = read.withColumn("_live", ~F.col("blank") & ~notice & ~no_name)
+    no_name = named & (~plausible_name(F.col("_name"), F.col("_packed")) | _without_blanks(F.col("merchant")).isin(PAYMENT_METHODS))
+    open_ = read.withColumn("_live", ~F.col("blank") & ~_says(F.col("_said"), NO_DATA) & ~no_name).drop("_day", "_raw_date", "_line", "_name", "_packed", "_said")
+    # every rule on other lines is a window in the order of the sheet: one sort serves all
+    order = Window.partitionBy(*by).orderBy("idx")
+    down = order.rowsBetween(Window.unboundedPreceding, 0)
     full = F.col("_live") & F.col("_date").rlike("^20[0-9]{2}")
-    before = F.last(F.when(full, F.col("_date")), ignorenulls=True).over(Window.partitionBy(*by).orderBy("idx").rowsBetween(Window.unboundedPreceding, 0))
-    carried = (F.col("_date") == "") & named & before.isNotNull()
-    dated = open_.withColumn("used_date", F.when(carried, before).otherwise(F.col("_date"))).withColumn("date_inferred", carried)
-    total = F.col("used_date").isin(TOTAL_DATES) | (_says(F.col("_line"), TOTAL_WORDS) & (F.col("used_date") == ""))
+    before = F.last(F.when(full, F.col("_date")), ignorenulls=True).over(down)
+    run = F.count_if("blank").over(order.rangeBetween(1 - BLANKS, 0)) == BLANKS
+    placed = open_.withColumns({"_before": before, "_run": run})
+    carried = (F.col("_date") == "") & named & F.col("_before").isNotNull()
+    dated = placed.withColumn("used_date", F.when(carried, F.col("_before")).otherwise(F.col("_date"))).withColumn("date_inferred", carried)
+    total = F.col("used_date").isin(TOTAL_DATES) | (F.col("_totals") & (F.col("used_date") == ""))
     none = ~named & (F.col("amount").isNull() | (F.col("used_date") == ""))
     good = dated.withColumn("_good", F.col("_live") & ~none & ~total)
-    # the first blank end behind the first transaction
-    first = good.where("_good").groupBy(*by).agg(F.min("idx").alias("_first"))
-    ends = blank_ends(read.select(*by, "idx", "blank"), by).join(first, by).where("end > _first").groupBy(*by).agg(F.min("end").alias("_end"))
-    kept = good.where("_good").join(ends, by, "left").where("_end IS NULL OR idx < _end")
+    # the table ends at the first full run of blank lines behind the first transaction
+    begun = good.withColumn("_ends", F.col("_run") & (F.count_if("_good").over(down) > 0))
+    kept = begun.withColumn("_ended", F.count_if("_ends").over(down) > 0).where("_good AND NOT _ended")
     return kept.select(*by, "idx", F.nullif("used_date", F.lit("")).alias("used_date"), "date_inferred", *(F.nullif(F.col(c), F.lit("")).alias(c) for c in ("merchant", "address", "purpose")), "people", "amount", F.nullif("role", F.lit("")).alias("role"), F.nullif("method", F.lit("")).alias("method"))

@@ -14,6 +14,7 @@ from ledgerlake.operators.quotas import shared_quota
 from ledgerlake.operators.routing import route_addresses
 from ledgerlake.operators.sheets import blank_ends, transactions_of
 from ledgerlake.plans.catalog import QUERIES
+from ledgerlake.plans.catalog import QUERIES
 from ledgerlake.streaming import states
 
 PROVINCES = [("서울", a) for a in ("서울특별시", "서울시", "서울")] + [("부산", a) for a in ("부산광역시", "부산")] + [("경기", a) for a in ("경기도", "경기")] + [("세종특별자치시", a) for a in ("세종특별자치시", "세종시")]
@@ -169,3 +170,13 @@ def test_states_by_stream_and_replay(spark, tmp_path):
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
     found = {r.source: r.status for r in got.collect()}
     assert found["t"] == "FAILED:X" and found["u"] == "FAILED:NO_BASELINE"
+
+
+def test_sheets_read_their_lines_twice_at_most(spark):
+    # once for the headers and once for the lines, however many rules look at other lines
+    plan = QUERIES["sheet_transactions"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [l_orderkey") == 2
+    lines = [["사용일자", "사용처", "금액"], *[[""]] * 9, ["2026-1-5", "x", "1"], ["2026.1.5.", "가 나 식 당", "1"], ["", "나", ""], *[[""]] * 7, ["260105", "다", "3"], *[[""]] * 9, ["2026-01-06", "뒤", "4"]]
+    grid = spark.createDataFrame([("s", i, row) for i, row in enumerate(lines)], "sheet string, idx int, cells array<string>")
+    got = transactions_of(grid, ["sheet"]).select("idx", "used_date", "date_inferred", "merchant", "amount").orderBy("idx").collect()
+    assert [tuple(r) for r in got] == [(10, "2026-1-5", False, "x", 1), (11, "2026-01-05", False, "가 나 식 당", 1), (12, "2026-01-05", True, "나", None), (20, "260105", False, "다", 3)]
