@@ -162,34 +162,31 @@ def _compare(percent: int):
     return run
 
 
-def _hot_tokens(counts: DataFrame) -> DataFrame | None:
-    """(token, salts): tokens with more than SHARE postings and more than a 10,000th of all that are counted, None without any.
+def _hot_tokens(counts: DataFrame) -> DataFrame:
+    """(token, salts): tokens with more than SHARE postings and more than a 10,000th of all that are counted.
 
     They are at most 10,000, however many postings there are, so the table is safe to broadcast. counts has token and df."""
     total = counts.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n")).first()["n"]
     salts = F.least(F.lit(SALTS), F.ceil(F.col("df") / SHARE)).cast("int").alias("salts")
-    hot = materialize(counts.where((F.col("df") > SHARE) & (F.col("df") * HOT > total)).select("token", salts).coalesce(1), "shingle_hot")
-    return None if hot.isEmpty() else hot
+    return materialize(counts.where((F.col("df") > SHARE) & (F.col("df") * HOT > total)).select("token", salts).coalesce(1), "shingle_hot")
 
 
-def _dealt(df: DataFrame, hot: DataFrame | None, by: F.Column | None) -> DataFrame:
+def _dealt(df: DataFrame, hot: DataFrame, by: F.Column | None) -> DataFrame:
     """df with a salt: the rows of a hot token go to its parts by a column, or to all of them (by is None)."""
-    if hot is None:
-        return df.withColumn("salt", F.lit(0))
     marked = df.join(F.broadcast(hot), "token", "left")
     if by is None:
         return marked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
     return marked.withColumn("salt", F.coalesce(F.pmod(F.xxhash64(by), F.col("salts")).cast("int"), F.lit(0))).drop("salts")
 
 
-def _by_token(many: DataFrame, one: DataFrame, hot: DataFrame | None, how: str = "inner") -> DataFrame:
-    """many joined by token with a table of one row for each token; rows of a hot token are dealt to several tasks."""
-    if hot is None:
-        return many.join(one, "token", how)
+def _by_token(many: DataFrame, one: DataFrame, hot: DataFrame, how: str = "inner") -> DataFrame:
+    """many joined by token with a table of one row for each token; rows of a hot token are dealt to several tasks.
+
+    The join is the same with and without hot tokens, so the plans of small and large tables can be compared."""
     return _dealt(many, hot, F.col("cls")).join(_dealt(one, hot, None), ["token", "salt"], how).drop("salt")
 
 
-def _prefix_index(postings: DataFrame, classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame | None]:
+def _prefix_index(postings: DataFrame, classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """(token, cls, n, pos, shared): the tokens of each prefix under order 1 that two postings have; pos from 1. And the
     hot tokens among them."""
     counts = materialize(postings.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "shingle_counts")
@@ -230,20 +227,20 @@ def _placed(index: DataFrame, labels: DataFrame) -> DataFrame:
     return index.drop("component").join(named, "cls", "left").withColumn("component", F.coalesce("_c", "cls")).drop("_c")
 
 
-def _open_lists(index: DataFrame, hot: DataFrame | None) -> DataFrame:
+def _open_lists(index: DataFrame, hot: DataFrame) -> DataFrame:
     """The posting lists that hold more than one component."""
     mixed = index.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
     return _by_token(index, mixed, hot, "left_semi")
 
 
-def _star_pairs(index: DataFrame, hot: DataFrame | None, percent: int) -> DataFrame:
+def _star_pairs(index: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
     """Pairs of each posting list's leader, its member with most shared tokens, and the members of other components."""
     lists = index.groupBy("token").agg(F.max_by(F.struct("cls", "n", "pos", "component"), F.struct("shared", "cls")).alias("l"), F.min("component").alias("low"), F.max("component").alias("high"))
     met = _by_token(index, _other(lists.where("low < high").select("token", "l.*")), hot)
     return _ordered_pairs(met.where((F.col("component") != F.col("o_component")) & _may_link(percent)))
 
 
-def _list_pairs(index: DataFrame, hot: DataFrame | None, percent: int) -> DataFrame:
+def _list_pairs(index: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
     """Pairs within each posting list of members in different components.
 
     The join is by token and a class of length: lengths that differ by no more than the threshold allows lie in the same

@@ -561,3 +561,12 @@ def test_fixity(spark):
     twice = swapped.unionByName(swapped.where("page_id = 33").withColumn("record", F.lit(b"zzz")))
     found = sorted((r["page_id"], r["status"]) for r in warc.fixity_audit(index, records, twice).collect())
     assert found == [(7, "moved"), (8, "moved"), (33, "altered")]
+
+
+def test_token_join_is_the_same_without_hot_tokens(spark):
+    rows = spark.range(40).selectExpr("id % 4 AS token", "id AS cls")
+    counts = rows.where("token < 3").groupBy("token").agg(F.count("*").alias("df"))
+    hot = ngram_join._hot_tokens(counts)
+    met = ngram_join._by_token(rows, counts, hot)
+    assert hot.count() == 0 and met.count() == 30 and sorted(met.columns) == ["cls", "df", "token"]
+    assert "salt" in met._jdf.queryExecution().optimizedPlan().toString()
