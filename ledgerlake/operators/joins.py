@@ -34,12 +34,15 @@ def with_fallback(df: DataFrame, lookup: DataFrame, levels: list[list[str]], val
 def duplicates_elsewhere(df: DataFrame, key: list[str], source: str, flag: str, fields: list[str]) -> DataFrame:
     """Flagged rows with exactly one unflagged row of the same key in another source; that row's fields come as other_<f>.
 
-    The unflagged rows are counted by key and source, and of each key only the first and the last source are kept: with three
-    or more sources there are always two rows elsewhere. So the join meets one row for each key."""
-    other = F.struct(*(F.col(f) for f in dict.fromkeys([source, *fields])))
-    by_source = df.where(~F.col(flag)).groupBy(*key, source).agg(F.count("*").alias("_c"), F.min(other).alias("_f"))
-    ends = F.struct(source, "_c", "_f")
-    by_key = by_source.groupBy(*key).agg(F.count("*").alias("_n"), F.min(ends).alias("_lo"), F.max(ends).alias("_hi")).where("_n <= 2")
+    The unflagged rows are counted by key and source. With three or more sources there are always two rows elsewhere, and
+    without a source of one row never just one, so these keys go first; of the others the first and the last source are
+    kept, and the join meets one row for each key. Counting needs no sorted groups, which structs as aggregates would."""
+    # a field's smallest value is that of the row where there is one row, and only then it is read
+    alone = [F.min(f).alias(f"_f{i}") for i, f in enumerate(fields)]
+    by_source = df.where(~F.col(flag)).groupBy(*key, source).agg(F.count("*").alias("_c"), *alone)
+    few = by_source.groupBy(*key).agg(F.count("*").alias("_n"), F.count_if(F.col("_c") == 1).alias("_ones")).where("_n <= 2 AND _ones >= 1").select(*key)
+    ends = F.struct(source, "_c", F.struct(*(F.col(f if f == source else f"_f{fields.index(f)}").alias(f) for f in dict.fromkeys([source, *fields]))).alias("_f"))
+    by_key = by_source.join(few, key, "left_semi").groupBy(*key).agg(F.count("*").alias("_n"), F.min(ends).alias("_lo"), F.max(ends).alias("_hi"))
     asked = df.where(F.col(flag)).join(by_key, key)
     own, lo, hi = F.col(source), F.col("_lo"), F.col("_hi")
     single = F.when((F.col("_n") == 1) & (lo[source] != own), lo).when((F.col("_n") == 2) & (lo[source] == own), hi).when((F.col("_n") == 2) & (hi[source] == own), lo)

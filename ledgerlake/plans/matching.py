@@ -14,7 +14,8 @@ from ledgerlake.operators.joins import close_pairs, duplicates_elsewhere, forwar
 from ledgerlake.operators.merging import carry_forward, first_wins, last_wins, merge_conflicts, merge_new, moved_rows, replace_partitions, snapshot_diff
 from ledgerlake.operators.rollups import candidates
 from ledgerlake.functions.numbers import score, score_sql
-from ledgerlake.plans.registry import MEASURES, PLAUSIBLE, TX, query, table, transactions
+from ledgerlake.plans.registry import MEASURES, PLAUSIBLE, TX, query, table, transactions, written
+from ledgerlake.storage import materialize
 
 
 @query(f"""WITH {TX}, lookup AS (SELECT family, branch, min(p_type) AS v FROM (SELECT p_name AS family, p_brand AS branch, p_type FROM part WHERE p_size <= 5) GROUP BY ALL),
@@ -84,10 +85,12 @@ _KEY = ["merchant", "cohort", "role", "people"]
 @query(f"""WITH {TX}, f AS (SELECT DISTINCT orderkey, line, partkey, suppkey, {', '.join(_KEY)}, institution, substr(used_date, 1, 4) <> substr(order_date, 1, 4) AS outside FROM tx)
     SELECT a.orderkey, a.line, a.partkey, a.suppkey, a.merchant, a.institution, b.institution AS other_institution, b.orderkey AS other_orderkey FROM f a JOIN f b ON NOT b.outside AND a.institution <> b.institution
     AND {' AND '.join(f'a.{k} = b.{k}' for k in _KEY)} WHERE a.outside QUALIFY count(*) OVER (PARTITION BY a.orderkey, a.line, a.partkey, a.suppkey, {', '.join('a.' + k for k in _KEY)}, a.institution) = 1""")
+@written
 def cross_duplicate_selfjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows outside their period with exactly one row in its period of the same economic key at another institution."""
     tx = transactions(spark, sf_dir).withColumn("outside", F.substring("used_date", 1, 4) != F.substring("order_date", 1, 4))
     rows = tx.select("orderkey", "line", "partkey", "suppkey", *_KEY, "institution", "outside").distinct()
+    rows = materialize(rows, "duplicate_rows")  # read for both sides: the joins run once
     found = duplicates_elsewhere(rows, _KEY, "institution", "outside", ["orderkey"])
     return found.select("orderkey", "line", "partkey", "suppkey", "merchant", "institution", "other_institution", "other_orderkey")
 

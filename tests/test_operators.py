@@ -1,5 +1,7 @@
 """Operators on small tables, and that row order does not change results."""
 
+import random
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -98,3 +100,15 @@ def test_grids(spark):
     assert [(r["date"], r["date_inferred"], r["merchant"], r["people"], r["amount"]) for r in got] == [("2024-01-05", False, "가나식당", 3, 45000), ("2024-01-05", True, "다라식당", 4, 50000), ("1.5", False, "가나", 2, 120000)]
     h = spark.createDataFrame([(["집행일자", "부서명", "사용자", "집행장소", "집행금액"],)], "h array<string>")
     assert h.select(grids.column_positions(F.col("h"))).first()[0]["role"] == 2
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_duplicates_elsewhere_equals_counting(spark, seed):
+    rng = random.Random(seed)
+    data = [(i, rng.choice([None, "a", "b", "c"]), rng.choice("xyz"), rng.random() < 0.4) for i in range(rng.choice((0, 12, 14)))]
+    df = spark.createDataFrame(data, "id long, k string, s string, late boolean")
+    found = joins.duplicates_elsewhere(df, ["k"], "s", "late", ["id"])
+    others = {r[0]: [o for o in data if not o[3] and o[1] == r[1] and o[2] != r[2]] for r in data if r[3] and r[1] is not None}
+    assert rows(found) == sorted((*r, o[0][2], o[0][0]) for r in data if len(o := others.get(r[0], [])) == 1)
+    # groups are counted in hash tables: only the few keys left are aggregated as structs
+    assert found._jdf.queryExecution().sparkPlan().toString().count("SortAggregate") == 2
