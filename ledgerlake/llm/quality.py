@@ -79,11 +79,10 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def context_vectors(docs: DataFrame, text_column: str = "text") -> np.ndarray:
     """Context vector of each unit over all documents, scaled to length near 1; shorter for rare units."""
     sums = docs.select(F.col(text_column).cast("string").alias("text")).mapInArrow(_contexts, "unit long, vector array<double>")
-    rows = sums.groupBy("unit").agg(*(F.sum(F.col("vector")[i]).alias(f"d{i}") for i in range(DIMS))).toPandas()  # UNITS rows at most
-    out = np.zeros((UNITS, DIMS))
-    if len(rows):
-        rows = rows.sort_values("unit")
-        out[rows["unit"].to_numpy()] = rows.drop(columns="unit").to_numpy()
+    rows = sums.groupBy("unit").agg(*(F.sum(F.col("vector")[i]).alias(f"d{i}") for i in range(DIMS))).toArrow()  # UNITS rows at most
+    out, units = np.zeros((UNITS, DIMS)), rows["unit"].to_numpy()
+    for i in range(DIMS):
+        out[units, i] = rows[f"d{i}"].to_numpy()
     return out / (np.linalg.norm(out, axis=1, keepdims=True) + 20.0)
 
 
@@ -123,8 +122,10 @@ def train(x: np.ndarray, y: np.ndarray, aside: np.ndarray, hidden: int = 32, epo
     if not len(x):
         return Network(np.zeros(FEATURES), np.ones(FEATURES), np.zeros((FEATURES, hidden)), np.zeros(hidden), np.zeros(hidden), 0.0)
     fit = ~aside if (~aside).any() else np.ones(len(x), bool)
-    net = Network(x[fit].mean(0), x[fit].std(0) + 1e-3, rng.normal(0, np.sqrt(2 / x.shape[1]), (x.shape[1], hidden)), np.zeros(hidden), rng.normal(0, np.sqrt(1 / hidden), hidden), 0.0)
-    z, t = (x[fit] - net.mean) / net.scale, y[fit]
+    z, t = x[fit], y[fit]
+    net = Network(z.mean(0), z.std(0) + 1e-3, rng.normal(0, np.sqrt(2 / x.shape[1]), (x.shape[1], hidden)), np.zeros(hidden), rng.normal(0, np.sqrt(1 / hidden), hidden), 0.0)
+    z -= net.mean
+    z /= net.scale
     params = [net.w1, net.b1, net.w2, np.zeros(1)]
     m, v, step = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
     for epoch in range(epochs):
@@ -166,6 +167,22 @@ def sampled_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
     return found.groupBy("doc_id").agg(F.first("y").alias("y"), F.min("t").alias("t")).select("doc_id", "y", F.col("t.text").alias("text"))
 
 
+def sample_matrix(sample: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """doc_id, y and the features x of a bounded sample as arrays, by doc_id; x has `width` numbers in each row.
+
+    The driver takes the rows as Arrow batches: as rows of Python floats they have four times the size, and the driver's
+    JVM decodes and pickles them besides."""
+    rows = sample.select("doc_id", "y", "x").toArrow()
+    ids = rows["doc_id"].to_numpy()
+    order = np.argsort(ids, kind="stable")
+    place, x, at = np.empty(len(ids), np.int64), np.empty((len(ids), width)), 0
+    place[order] = np.arange(len(ids))
+    for part in rows["x"].chunks:
+        x[place[at : at + len(part)]] = part.flatten().to_numpy().reshape(-1, width)
+        at += len(part)
+    return ids[order], rows["y"].to_numpy()[order], x
+
+
 def _features(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,10 +211,13 @@ def fit_quality(docs: DataFrame, labels: DataFrame, column: str = "quality", fol
 def _fitted(docs: DataFrame, labels: DataFrame, column: str, folds: int, out: int, sample_rows: int) -> tuple[np.ndarray, Network]:
     vectors = context_vectors(docs)
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
-    rows = sampled_texts(docs, labelled_sample(labels, column, folds, out, sample_rows)).mapInArrow(_features(shared), "doc_id long, y double, x array<double>").toPandas().sort_values("doc_id", kind="stable")
-    x = np.array(rows["x"].tolist()).reshape(-1, FEATURES)
-    aside = (mix(rows["doc_id"].to_numpy().astype(np.int64).view(np.uint64)) % np.uint64(5) == 0) if len(rows) else np.zeros(0, bool)
-    return vectors, train(x, rows["y"].to_numpy(), aside)
+    sample = sampled_texts(docs, labelled_sample(labels, column, folds, out, sample_rows)).mapInArrow(_features(shared), "doc_id long, y double, x array<double>")
+    ids, y, x = sample_matrix(sample, FEATURES)
+    shared.destroy()
+    net = train(x, y, mix(ids.astype(np.int64).view(np.uint64)) % np.uint64(5) == 0)
+    del x
+    give_back()
+    return vectors, net
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, folds: int = 3, out: int = 1) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.quality import labelled_sample, sampled_texts, with_fold
+from ledgerlake.llm.quality import labelled_sample, sample_matrix, sampled_texts, with_fold
 from ledgerlake.llm.words import mix
 from ledgerlake.storage import discard, materialize
 
@@ -310,8 +310,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, out: int =
     shared.destroy()
     discard(types)
     machine = StringMachine((turn @ w[:-1]).astype(np.float64), float(w[-1]), silent.document)
-    rows = texts.mapInArrow(_document_rows(spark.sparkContext.broadcast(machine)), "doc_id long, y double, x array<double>").toPandas().sort_values("doc_id", kind="stable")
-    machine.document = fit_documents(np.array(rows["x"].tolist()), rows["y"].to_numpy())
+    rows = texts.mapInArrow(_document_rows(spark.sparkContext.broadcast(machine)), "doc_id long, y double, x array<double>")
+    _, y, x = sample_matrix(rows, DOCUMENT)
+    machine.document = fit_documents(x, y)
     return machine
 
 

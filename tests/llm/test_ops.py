@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -229,6 +230,25 @@ def test_quality_filter_keeps_columns(spark):
     assert kept.columns == docs.columns and kept.count() == good
 
 
+def test_quality_sample_in_the_driver(spark):
+    """The driver's Python holds the sample as arrays and a copy or two beside the vectors, not as rows of Python floats."""
+    n = 4000
+    ids = spark.range(n).select(F.col("id").alias("doc_id"))
+    docs = ids.select("doc_id", F.concat_ws(" ", F.lit("some words"), F.col("doc_id").cast("string"), F.when(F.col("doc_id") % 2 == 0, "A-b 1.5")).alias("text"))
+    labels = ids.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    tracemalloc.start()
+    try:
+        _, net = quality.fit_quality(docs, labels, folds=n, out=-1, sample_rows=n)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 8 * (3 * n * quality.FEATURES + quality.UNITS * quality.DIMS)
+    sample = docs.select("doc_id", F.lit(1.0).alias("y"), F.array(*(F.col("doc_id") * 1.0 + i for i in range(3))).alias("x")).orderBy(F.desc("doc_id"))
+    got, y, x = quality.sample_matrix(sample, 3)
+    assert (got == np.arange(n)).all() and (y == 1).all() and (x == got[:, None] + np.arange(3.0)).all()
+    assert [len(a) for a in quality.sample_matrix(sample.limit(0), 3)] == [0, 0, 0]
+
+
 def brute_kernel(a, b):
     """Common subsequences of three letters of two lower-case words by their definition, normalised."""
     def features(w):
